@@ -103,8 +103,9 @@ def point_in_ring(ring: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName) -> C
 
     def crosses(e):
         a, b = e["a"], e["b"]
-        return ((a.lat > y) != (b.lat > y)) & (
-            x < (b.lon - a.lon) * (y - a.lat) / (b.lat - a.lat) + a.lon)
+        straddles = (a.lat > y) != (b.lat > y)
+        return F.when(straddles, x < (b.lon - a.lon) * (y - a.lat) / (b.lat - a.lat) + a.lon
+                      ).otherwise(F.lit(False))
 
     n_cross = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
     return (n >= 3) & ~F.exists(edges, on_edge) & (n_cross % 2 == 1)

@@ -164,29 +164,34 @@ SOIL_COLUMNS = ["bulk_density", "ca_co3", "organic_carbon", "ph", "clay", "silt"
 
 
 def soil_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Layer measurements as dyadic fractions (exact sums in any order)."""
     li = _t(spark, d, "lineitem", "l_suppkey", "l_quantity", "l_discount", "l_tax",
             "l_returnflag")
+    disc = F.round(F.col("l_discount") * 100).cast("int")
+    tax = F.round(F.col("l_tax") * 100).cast("int")
     return li.select(
         F.col("l_suppkey").alias("profile_identifier"),
-        F.when(F.col("l_returnflag") == "R", F.lit(1.2) + F.col("l_tax")).alias("bulk_density"),
-        F.when(F.col("l_quantity") > 45, F.col("l_quantity") / 10.0).alias("ca_co3"),
-        (F.col("l_discount") * 10.0).alias("organic_carbon"),
-        (F.lit(5.0) + F.col("l_tax") * 50.0).alias("ph"),
+        F.when(F.col("l_returnflag") == "R", F.lit(1.0) + tax / 32.0).alias("bulk_density"),
+        F.when(F.col("l_quantity") > 45, F.col("l_quantity") / 4.0).alias("ca_co3"),
+        (disc / 16.0).alias("organic_carbon"),
+        (F.lit(5.0) + tax / 8.0).alias("ph"),
         F.col("l_quantity").alias("clay"),
         (F.lit(50.0) - F.col("l_quantity")).alias("silt"),
-        ((F.col("l_discount") + F.col("l_tax")) * 100.0).alias("sand"))
+        ((disc + tax) / 4.0).alias("sand"))
 
 
 SQL_SOIL_LAYERS = """
 soil_layers AS (
   SELECT l_suppkey AS profile_identifier,
-         CASE WHEN l_returnflag = 'R' THEN 1.2 + l_tax END AS bulk_density,
-         CASE WHEN l_quantity > 45 THEN l_quantity / 10.0 END AS ca_co3,
-         l_discount * 10.0 AS organic_carbon,
-         5.0 + l_tax * 50.0 AS ph,
+         CASE WHEN l_returnflag = 'R' THEN 1.0 + CAST(round(l_tax * 100) AS INTEGER) / 32.0 END
+           AS bulk_density,
+         CASE WHEN l_quantity > 45 THEN l_quantity / 4.0 END AS ca_co3,
+         CAST(round(l_discount * 100) AS INTEGER) / 16.0 AS organic_carbon,
+         5.0 + CAST(round(l_tax * 100) AS INTEGER) / 8.0 AS ph,
          l_quantity AS clay,
          50.0 - l_quantity AS silt,
-         (l_discount + l_tax) * 100.0 AS sand
+         (CAST(round(l_discount * 100) AS INTEGER) + CAST(round(l_tax * 100) AS INTEGER)) / 4.0
+           AS sand
   FROM lineitem)"""
 
 
