@@ -77,8 +77,9 @@ def previous_months(monthly: DataFrame, requests: DataFrame, site: str, date: st
                      "left")
                .select(F.col(f"k.{site}").alias(site), F.col(f"k.{year}").alias(year),
                        F.coalesce(F.col("m._w"), F.array()).alias("_w")))
-    arrays = {c: pad_front(F.transform("_w", lambda s, c=c: s[c].cast("double")), n)
-              for c in value_cols}
+    def field(name):
+        return lambda s: s[name].cast("double")
+    arrays = {c: pad_front(F.transform("_w", field(c)), n) for c in value_cols}
     keyed = matched.select(site, year, *[v.alias(c) for c, v in arrays.items()])
     return requests.join(keyed, [site, year], "left")
 

@@ -17,4 +17,4 @@ def oracle_sql():
 def bench_queries():
     return {name: q.build for name, q in REGISTRY.items() if q.bench}
 
-FLAGSHIP = "monthly_climate_rollup"
+FLAGSHIP = "yield_training_table"

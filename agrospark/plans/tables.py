@@ -120,8 +120,8 @@ def crop_history(spark: SparkSession, d: str) -> DataFrame:
                   .alias("superficie_sembrada_ha"),
                   F.sum((F.col("l_quantity") * (1 - F.col("l_discount"))).cast("decimal(18,4)"))
                   .cast("double").alias("superficie_cosechada_ha"),
-                  (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")) / 1000)
-                  .cast("double").alias("produccion_tn")))
+                  (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+                   / 1000.0).alias("produccion_tn")))
 
 
 SQL_CROP_HISTORY = """
@@ -131,7 +131,7 @@ crop_history AS (
          CAST(sum(CAST(li.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS superficie_sembrada_ha,
          CAST(sum(CAST(li.l_quantity * (1 - li.l_discount) AS DECIMAL(18,4))) AS DOUBLE)
            AS superficie_cosechada_ha,
-         CAST(sum(CAST(li.l_extendedprice AS DECIMAL(18,2))) / 1000 AS DOUBLE) AS produccion_tn
+         CAST(sum(CAST(li.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 1000.0 AS produccion_tn
   FROM lineitem li JOIN part p ON li.l_partkey = p.p_partkey
                    JOIN supplier s ON li.l_suppkey = s.s_suppkey
                    JOIN nation n ON s.s_nationkey = n.n_nationkey
