@@ -71,10 +71,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/agrospark-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing a parquet table in the shared checkpoint folder
+    and reading it back (never ``localCheckpoint``): the result survives the
+    loss of any executor, and the downstream plan starts from a columnar
+    scan instead of the whole upstream plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
