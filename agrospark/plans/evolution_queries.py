@@ -58,7 +58,7 @@ b_win AS (
   FROM b_comp c JOIN b_obj o ON o.instance_id = c.instance_id AND o.i = c.c GROUP BY 1, 2)"""
 
 
-@register("bitstring_population_stats", covers=("G1", "P23", "P25", "A5", "A6"), sql=with_ctes(
+@register("bitstring_population_stats", covers=("G1", "P23", "P25", "A5", "A6"), bench=True, sql=with_ctes(
     SQL_BITS, body=f"""
 SELECT instance_id, {R('max(obj)', 8)} AS max_obj, {R('min(obj)', 8)} AS min_obj,
        {R(f'sum(obj) / {N_IND}', 4)} AS avg_obj,

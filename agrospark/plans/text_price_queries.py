@@ -183,7 +183,7 @@ geo_payload AS (
   FROM events)"""
 
 
-@register("event_locations", covers=("P21",), sql=with_ctes(_geo_payload_sql(), body="""
+@register("event_locations", covers=("P21",), bench=True, sql=with_ctes(_geo_payload_sql(), body="""
 SELECT event_id,
        coalesce(nullif(json_extract_string(address, '$.county'), ''),
                 nullif(json_extract_string(address, '$.municipality'), ''),
