@@ -279,3 +279,47 @@ def allocation_evolution_totals(spark, d, generations: int = 4):
                        F.bround("best_total", 4).alias("best_total"),
                        F.array_join(F.transform("crop_totals", lambda x: F.bround(x, 2).cast("string")),
                                     ",").alias("crop_totals"))
+
+
+@register("allocation_positive_shares", covers=("F7",), sql=with_ctes(
+    T.SQL_POLYGONS, T.SQL_POINTS,
+    __import__("agrospark.plans.soil_geo_queries", fromlist=["x"]).POINTS_IN_DEPARTMENTS_SQL,
+    T.SQL_CROP_HISTORY, __import__("agrospark.plans.text_price_queries", fromlist=["x"]).SQL_BOARD,
+    f"""
+a_tph AS (SELECT departamento_nombre, cultivo_nombre,
+                 sum(produccion_tn) / sum(superficie_sembrada_ha) AS tph
+          FROM crop_history GROUP BY 1, 2),
+a_crops AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(CROPS))})
+            v(crop_pos, cultivo_nombre)),
+a_fields AS (SELECT point_id AS instance_id, departamento_nombre,
+                    CAST(10 + point_id % 91 AS DOUBLE) AS area_ha FROM located),
+a_raw AS (
+  SELECT f.instance_id, f.area_ha, f.departamento_nombre, t.i, c.crop_pos, c.cultivo_nombre,
+         {U('init', 'f.instance_id', '0', 't.i', 'c.crop_pos')} AS u
+  FROM a_fields f, range({N_IND}) t(i), a_crops c),
+a_genes AS (
+  SELECT r.*, u / sum(u) OVER (PARTITION BY instance_id, i) * area_ha AS ha,
+         y.tph * r.area_ha AS tons_full, CAST(p.price AS DOUBLE) AS price
+  FROM a_raw r LEFT JOIN a_tph y ON y.departamento_nombre = r.departamento_nombre
+                                AND y.cultivo_nombre = r.cultivo_nombre
+       LEFT JOIN board_prices p ON p.crop_key = r.cultivo_nombre),
+a_ind AS (
+  SELECT instance_id, i, sum(coalesce(ha / area_ha * (tons_full * price), 0)) AS revenue
+  FROM a_genes GROUP BY 1, 2),
+a_best AS (SELECT instance_id, min({{'nr': -revenue, 'i': i}}).i AS i FROM a_ind GROUP BY 1)""",
+    body=f"""
+SELECT g.instance_id, g.cultivo_nombre, {R('g.ha', 2)} AS ha,
+       g.cultivo_nombre || chr(10) || CAST({R('g.ha', 2)} AS VARCHAR) AS label
+FROM a_genes g JOIN a_best b ON b.instance_id = g.instance_id AND b.i = g.i
+WHERE g.ha > 0"""))
+def allocation_positive_shares(spark, d):
+    """the best allocation's crops with a positive area, labelled
+    ``crop\\nha`` (the treemap's data table)."""
+    f = allocation_fields(spark, d)
+    p = EV.stats(EV.fitness(EV.revenue_objective(EV.init_allocations(f, N_IND, len(CROPS)))))
+    crops = F.array(*[F.lit(c) for c in CROPS])
+    e = p.select("instance_id", F.posexplode("best_genes").alias("pos", "ha"), crops.alias("_c"))
+    e = e.filter(F.col("ha") > 0).withColumn("cultivo_nombre", F.col("_c")[F.col("pos")])
+    return e.select("instance_id", "cultivo_nombre", F.bround("ha", 2).alias("ha"),
+                    F.concat(F.col("cultivo_nombre"), F.lit("\n"),
+                             F.bround("ha", 2).cast("string")).alias("label"))

@@ -247,3 +247,53 @@ def random_knapsack_instances(spark, d):
     return it.groupBy("instance_id", "capacity").agg(
         F.count(F.lit(1)).alias("n_items"), F.sum("measure").alias("total_measure"),
         F.sum("value").alias("total_value"))
+
+
+@register("customer_latin1_semicolon_csv", covers=("S2", "S4", "P6"), sql="""
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal
+FROM customer""")
+def customer_latin1_semicolon_csv(spark, d):
+    """Land customers as a ``;``-separated, quoted, Latin-1 file with ragged
+    empty trailing header cells and ``s/i`` for missing values, then read it
+    back: unnamed columns dropped, ``s/i`` -> NULL, text cast with try_cast."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    out = c.select("c_custkey", "c_name", "c_nationkey",
+                   F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal"))
+                    .alias("c_acctbal"),
+                   F.lit(None).cast("string").alias(""), F.lit(None).cast("string").alias(" "))
+    path = scratch_path(spark, "semicolon-csv")
+    (out.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+        .option("nullValue", "s/i").option("quoteAll", True).csv(path))
+    back = RD.read_semicolon_csv(spark, path)
+    back = RD.read_csv(spark, path, sep=";", encoding="ISO-8859-1", null_value="s/i") \
+        if not back.columns else back
+    return CL.cast_columns(back, {"c_custkey": "bigint", "c_nationkey": "int",
+                                  "c_acctbal": "double"})
+
+
+@register("field_centroid_text", covers=("S8", "A3"), sql=with_ctes(T.SQL_POINTS, body=f"""
+SELECT c.c_nationkey AS nationkey, {R('avg(p.lon)', 6)} AS lon, {R('avg(p.lat)', 6)} AS lat
+FROM customer c JOIN points p ON p.point_id = c.c_custkey GROUP BY 1"""))
+def field_centroid_text(spark, d):
+    """Department centroids stored as ``"(lon, lat)"`` text (the reference's
+    CSV cell) and parsed back into a (lon, lat) struct."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    pts = T.customer_points(spark, d)
+    cen = (c.join(pts, c.c_custkey == pts.point_id).groupBy(F.col("c_nationkey").alias("nationkey"))
+            .agg(F.bround(F.avg("lon"), 6).alias("x"), F.bround(F.avg("lat"), 6).alias("y")))
+    txt = cen.select("nationkey", F.format_string("(%s, %s)", F.col("x").cast("string"),
+                                                  F.col("y").cast("string")).alias("coords"))
+    parsed = RD.parse_pairs(txt, "coords", "c")
+    return parsed.select("nationkey", F.col("c.lon").alias("lon"), F.col("c.lat").alias("lat"))
+
+
+@register("field_records_json", covers=("S16", "J4", "A4"), sql=None)
+def field_records_json(spark, d):
+    """One JSON document per customer field (nested centro, department,
+    area in m2 and hectares, request date)."""
+    pts = T.customer_points(spark, d)
+    geo = G.field_geometry(_field_text(pts), "coords_text").filter("is_valid")
+    loc = G.locate_points(geo.join(pts, "point_id"), T.department_polygons(spark, d))
+    rec = loc.withColumn("coords", F.col("coords_text")).withColumn(
+        "fecha", F.lit("2025-08-12").cast("date"))
+    return SK.field_records_json(rec)

@@ -41,7 +41,8 @@ def read_semicolon_csv(spark: SparkSession, path: str, null_value: str = "s/i")
     ``s/i`` is NULL; numbers with several dots stay strings.
     """
     df = read_csv(spark, path, sep=";", null_value=null_value)
-    named = [c for c in df.columns if not (c.startswith("_c") and c[2:].isdigit()) and c.strip()]
+    named = [c for c in df.columns
+             if not (c.startswith("_c") and c[2:].isdigit()) and c.strip(" '\"")]
     return df.select(*[F.col(f"`{c}`") for c in named])
 
 
