@@ -44,7 +44,7 @@ climate_windows AS (
 @register("crop_history", covers=("P3", "F1", "O1"), sql=with_ctes(
     T.SQL_CROP_HISTORY, body="SELECT * FROM crop_history WHERE anio >= 1983"))
 def crop_history(spark, d):
-    return T.crop_history(spark, d).filter(F.col("anio") >= 1983)
+    return T.crop_history(spark, d, min_year=1983)
 
 
 @register("previous_months_climate", covers=("J3", "W3", "R3", "F3"), sql=with_ctes(
@@ -95,7 +95,7 @@ def yield_training_table(spark, d):
     from ..operators import clean as CL
     from ..operators.features import encode_labels, widen_arrays
     from .soil_geo_queries import soil_means_by_department
-    crops = T.crop_history(spark, d).filter(F.col("anio") >= 1983)
+    crops = T.crop_history(spark, d, min_year=1983)
     soil = soil_means_by_department(spark, d).select("departamento_nombre", *SOIL5)
     base = crops.join(soil, "departamento_nombre")
     win = C.previous_months(T.climate_monthly(spark, d), base, "departamento_nombre", "fecha",
