@@ -34,13 +34,14 @@ def read_latin1_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return read_csv(spark, path, schema, encoding="ISO-8859-1")
 
 
-def read_semicolon_csv(spark: SparkSession, path: str, null_value: str = "s/i") -> DataFrame:
+def read_semicolon_csv(spark: SparkSession, path: str, null_value: str = "s/i",
+                       encoding: str = "UTF-8") -> DataFrame:
     """``;``-separated quoted CSV with ragged empty trailing columns.
 
     Unnamed header cells (``;;;``) become ``_c<i>`` columns and are dropped;
     ``s/i`` is NULL; numbers with several dots stay strings.
     """
-    df = read_csv(spark, path, sep=";", null_value=null_value)
+    df = read_csv(spark, path, sep=";", encoding=encoding, null_value=null_value)
     named = [c for c in df.columns
              if not (c.startswith("_c") and c[2:].isdigit()) and c.strip(" '\"")]
     return df.select(*[F.col(f"`{c}`") for c in named])
