@@ -23,13 +23,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def _byte_values() -> np.ndarray:
-    t = np.random.default_rng(20240607).integers(1, 2 ** 63, 256, dtype=np.uint64)
-    t[65:91] = t[97:123]
-    return t
-
-
-_VALUE = _byte_values()
+_VALUE_EXACT = np.random.default_rng(20240607).integers(1, 2 ** 63, 256, dtype=np.uint64)
+_VALUE = _VALUE_EXACT.copy()
+_VALUE[65:91] = _VALUE[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2 ** 64)
 WINDOW = 1 << 20          # bytes hashed at a time; bounds the arrays, cuts no word
@@ -84,9 +80,9 @@ def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def hash_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, first word of each text and the end)."""
-    starts, ends, first = word_bounds(data, offs)
+def hash_bounds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hash of the bytes of every word; ``fold`` makes A-Z and a-z equal."""
+    values = _VALUE if fold else _VALUE_EXACT
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -95,11 +91,17 @@ def hash_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
         hi = int(ends[j - 1])
         p, q = _powers(hi - lo)
         h = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_VALUE[data[lo:hi]] * p[:hi - lo], out=h[1:], dtype=np.uint64)
+        np.cumsum(values[data[lo:hi]] * p[:hi - lo], out=h[1:], dtype=np.uint64)
         s, e = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = mix((h[e] - h[s]) * q[s] + (e - s).astype(np.uint64))
         i = j
-    return out, first
+    return out
+
+
+def hash_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, first word of each text and the end)."""
+    starts, ends, first = word_bounds(data, offs)
+    return hash_bounds(data, starts, ends), first
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, mixing, packing, personal_data
-from .common import documents
+from . import (backoff, jaccard_join, language_id, mixing, nearest, packing, personal_data, repetition,
+               sharding, warc)
+from .common import documents, read_table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,3 +50,40 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = language_id.fold()
     found = language_id.identify(docs, fold != 2)
     return found.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality(documents(spark, sf_dir))
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS s FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY s) ELSE page_id END AS first FROM d)
+SELECT page_id, n AS payload_bytes, s AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_documents(documents(spark, sf_dir))
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read_table(spark, sf_dir, "embeddings"))
