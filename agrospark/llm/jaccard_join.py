@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buffers, hash_words, kept_in_table, mix, slices
@@ -165,21 +165,26 @@ def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return c.value_parent_indices().to_numpy(), c.flatten().to_numpy()
 
 
-def _stars(table: pa.Table) -> pa.Table:
-    """Pairs (first row of a column, other row), distinct within the block."""
+def _stars(table: pa.Table, t: int) -> pa.Table:
+    """Pairs (leader of a column, other row), distinct within the block.
+
+    The leader is the row with the largest share of shared columns: the text that
+    a family of near copies was made from has few columns of its own."""
     node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
+    place = np.empty(len(node), np.int64)
+    place[np.lexsort((node, -(table.column("shared").to_numpy() / size)))] = np.arange(len(node))
     row, col = _flat(table)
-    order = np.lexsort((node[row], col))
+    order = np.lexsort((place[row], col))
     row, col = row[order], col[order]
     new = np.concatenate([[True], col[1:] != col[:-1]]) if len(col) else np.zeros(0, bool)
     lead = row[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(col) else row
     pair = np.unique((lead.astype(np.int64) << 32 | row)[~new])
-    return _pairs(node, size, pair >> 32, pair & 0xFFFFFFFF)
+    return _pairs(node, size, pair >> 32, pair & 0xFFFFFFFF, t)
 
 
-def _pairs(node, size, a, b) -> pa.Table:
+def _pairs(node, size, a, b, t: int) -> pa.Table:
     a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
-    ok = (100 * np.minimum(size[a], size[b]) >= 75 * np.maximum(size[a], size[b])) & (node[a] != node[b])
+    ok = (100 * np.minimum(size[a], size[b]) >= t * np.maximum(size[a], size[b])) & (node[a] != node[b])
     a, b = a[ok], b[ok]
     return pa.table([node[a], node[b], size[a], size[b]], names=["a", "b", "na", "nb"])
 
@@ -187,12 +192,15 @@ def _pairs(node, size, a, b) -> pa.Table:
 PAIRS = "a long, b long, na long, nb long"
 
 
+CLASSES = 48              # classes of columns by the number of rows that hold them
+ACROSS = INCIDENCE + ", degrees array<int>"
+
+
 def _across(table: pa.Table) -> pa.Table:
     """Entries in columns that hold two components."""
     row, col = _flat(table)
     label = table.column("label").to_numpy()[row]
     node = table.column("node").to_numpy()[row]
-    low, high = {}, None
     width = int(col.max()) + 1 if len(col) else 0
     low, high = np.full(width, np.iinfo(np.int64).max), np.full(width, np.iinfo(np.int64).min)
     np.minimum.at(low, col, label)
@@ -200,30 +208,47 @@ def _across(table: pa.Table) -> pa.Table:
     ok = low[col] != high[col]
     node, col = node[ok], col[ok]
     order = np.lexsort((col, node))
-    return _emit(table.column("block")[0].as_py() if table.num_rows else 0, node[order], col[order])
+    node, col = node[order], col[order]
+    degree = np.bincount(col, minlength=1)
+    kind = np.minimum((2 * np.log2(np.maximum(degree, 1))).astype(np.int64), CLASSES - 1)[col]
+    out = _emit(table.column("block")[0].as_py(), node, col)
+    at = np.searchsorted(out.column("node").to_numpy(), node)
+    counts = np.bincount(at * CLASSES + kind, minlength=CLASSES * out.num_rows)
+    return out.append_column("degrees", _lists(np.full(out.num_rows, CLASSES), counts.astype(np.int32)))
 
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
+def _cross_pairs(table: pa.Table, t: int) -> pa.Table:
     """Pairs of different components that share a column and whose sizes the bound
-    allows: overlap >= t / (1 + t) * (na + nb) can't exceed what either row shares."""
+    allows: an overlap of t / (1 + t) * (na + nb) can't exceed what either row
+    shares, nor the sum over the classes of columns of the smaller count.
+
+    Of a pair the smaller row (by size, then name) probes.  A partner lacks at most
+    shared - t / (1 + t) * 2n of its columns, so one column more than that is enough
+    to meet every partner: the row probes in its first blocks only."""
     node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
     label, share = table.column("label").to_numpy(), table.column("shared").to_numpy()
+    degrees = table.column("degrees").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
     row, col = _flat(table)
-    order = np.lexsort((size[row], col))
+    order = np.lexsort((node[row], size[row], col))
     row, col = row[order], col[order]
+    u = 100 + t
+    probes = u * (share - table.column("before").to_numpy()) >= 2 * t * size
     found = set()
     cut = np.flatnonzero(np.diff(col)) + 1 if len(col) else []
     for lo, hi in zip([0, *cut], [*cut, len(col)]):
         r = row[lo:hi]
         n = size[r]
-        for i, x in enumerate(r):
-            top = min(100 * n[i] // 75, 175 * share[x] // 75 - n[i])
+        for i in np.flatnonzero(probes[r]):
+            x = r[i]
+            top = min(100 * n[i] // t, u * share[x] // t - n[i])
             end = int(np.searchsorted(n, top, "right"))
             y = r[i + 1:end]
-            y = y[(label[y] != label[x]) & (75 * (size[y] + n[i]) <= 175 * share[y])]
+            y = y[(label[y] != label[x]) & (t * (size[y] + n[i]) <= u * share[y])]
+            if len(y):
+                y = y[t * (size[y] + n[i]) <= u * np.minimum(degrees[y], degrees[x]).sum(1)]
             found.update((int(x) << 32 | y).tolist())
     pair = np.array(sorted(found), np.int64)
-    return _pairs(node, size, pair >> 32, pair & 0xFFFFFFFF)
+    return _pairs(node, size, pair >> 32, pair & 0xFFFFFFFF, t)
 
 
 def _linked(pairs: DataFrame, inc: DataFrame, t: int) -> DataFrame:
@@ -258,16 +283,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: int = 75,
 
     live = kept_in_table(shared.join(kept_in_table(bounded(shared), "bounded"), "node"), "live")
     inc = live.select("node", "block", "cols")
-    proposed = kept_in_table(live.groupBy("block").applyInArrow(_stars, PAIRS).distinct(), "pairs")
+    proposed = kept_in_table(live.groupBy("block").applyInArrow(lambda x: _stars(x, threshold), PAIRS).distinct(), "pairs")
     links = kept_in_table(_linked(proposed, inc, threshold), "links")
     label = components(links)
     grouped = live.drop("shared").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    across = kept_in_table(grouped.groupBy("block").applyInArrow(_across, INCIDENCE), "across")
-    rest = kept_in_table(bounded(across), "bounded")
+    across = kept_in_table(grouped.groupBy("block").applyInArrow(_across, ACROSS), "across")
+    each = [F.sum(F.get("degrees", F.lit(i))) for i in range(CLASSES)]
+    degrees = across.groupBy("node").agg(F.array(*each).alias("degrees"))
+    rest = kept_in_table(bounded(across).join(degrees, "node"), "bounded")
     if rest.limit(1).count():
-        again = (across.join(rest, "node").join(label, "node", "left")
-                 .withColumn("label", F.coalesce("label", "node")))
-        more = kept_in_table(again.groupBy("block").applyInArrow(_cross_pairs, PAIRS).distinct(), "pairs")
+        again = (across.drop("degrees").join(rest, "node").join(label, "node", "left")
+                 .withColumn("label", F.coalesce("label", "node"))
+                 .withColumn("before", F.sum(F.size("cols")).over(Window.partitionBy("node").orderBy("block")) - F.size("cols")))
+        more = kept_in_table(again.groupBy("block").applyInArrow(lambda x: _cross_pairs(x, threshold), PAIRS).distinct(), "pairs")
         found = kept_in_table(_linked(more, inc, threshold), "links")
         if found.limit(1).count():
             label = components(links.union(found))
