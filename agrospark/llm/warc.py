@@ -94,8 +94,8 @@ def write_archives(pages: DataFrame, folder: str, target: int = 32 << 20, least:
     offset = F.sum("length").over(at.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")
     placed = rows.withColumn("offset", offset)
     placed.select(*INDEX).write.parquet(f"{folder}/index")
-    # the window leaves each archive in one partition, in its order
-    placed.select("archive", "text").write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
+    # each archive is in one partition; sorted as the offsets were, which the writer keeps
+    rows.sortWithinPartitions("archive", *order).select("archive", "text").write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
     return pages.sparkSession.read.parquet(f"{folder}/index")
 
 
