@@ -50,7 +50,7 @@ def decided(pages: DataFrame, least: int) -> DataFrame:
 
 
 def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
-    """Record text and index columns of each page; an archive is one partition."""
+    """Record text and index columns of each page."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
                         html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"),
@@ -58,12 +58,11 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
     told = kept_in_table(decided(rows, least), "decided")
     id_ = F.coalesce("page_id", F.lit(-1))
     archive = F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int")
-    # rows meet their decision where their archive is: the pages are shuffled once
-    left = rows.withColumn("archive", archive).withColumn("k", id_).repartition(archives, "archive")
-    right = told.select(F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int").alias("archive"), id_.alias("k"),
-                        "digest", "again", "first").repartition(archives, "archive")
-    both = left.join(right, ["archive", "k", "digest"])
-    nth = F.row_number().over(Window.partitionBy("archive", "k", "digest").orderBy("url", "html"))
+    left = rows.withColumn("archive", archive).withColumn("k", id_)
+    right = told.select(id_.alias("k"), "digest", "again", "first")
+    both = left.join(right, ["k", "digest"])
+    # equal digests are equal payloads, so the order needs no html
+    nth = F.row_number().over(Window.partitionBy("k", "digest").orderBy("url"))
     both = both.withColumn("again", F.col("again") | ((nth > 1) & (F.col("payload_bytes") >= least)))
     kind = F.when(F.col("again"), "revisit").otherwise("response")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -79,7 +78,8 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
         line("Content-Length", F.when(F.col("again"), F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
         F.lit("\r\n"))
     text = F.concat(header, F.when(F.col("again"), F.lit("")).otherwise(F.col("html")))
-    return (both.withColumn("text", text).withColumn("length", (F.octet_length("text") + len(END)).cast("long"))
+    payload = F.when(F.col("again"), F.lit(0)).otherwise(F.col("payload_bytes"))
+    return (both.withColumn("text", text).withColumn("length", (F.octet_length(header) + payload + len(END)).cast("long"))
             .withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("again"), F.col("first"))))
 
 
@@ -89,13 +89,13 @@ def write_archives(pages: DataFrame, folder: str, target: int = 32 << 20, least:
     archives = max(16, -(-size // target))
     rows = records(pages, archives, least)
     # the order within an archive, the same for the index and the file
-    order = ["k", "digest", "again", "url", "html"]
+    order = ["k", "digest", "again", "url"]
     at = Window.partitionBy("archive").orderBy(*order)
     offset = F.sum("length").over(at.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")
     placed = rows.withColumn("offset", offset)
     placed.select(*INDEX).write.parquet(f"{folder}/index")
-    # each archive is in one partition; sorted as the offsets were, which the writer keeps
-    rows.sortWithinPartitions("archive", *order).select("archive", "text").write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
+    # each archive goes to one task, sorted as the offsets were; the writer keeps that order
+    rows.repartition(archives, "archive").sortWithinPartitions("archive", *order).select("archive", "text").write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
     return pages.sparkSession.read.parquet(f"{folder}/index")
 
 
