@@ -3,11 +3,12 @@
 Writing: every page becomes one record.  The first row (by page id) of a payload
 of at least ``least`` bytes is a ``response``, equal ones are ``revisit`` records
 without a payload; smaller payloads are always ``response``.  Records go to
-archives by a hash of the page id.  An archive is one output file of Spark's text
-writer, whose line separator is the blank line that ends a record, so the file is
-a plain WARC file and a lost task is written again by the committer.  The place
-of each record is known before anything is written: lengths are computed, and an
-offset is the running sum within the archive.  The index (archive, offset,
+archives by a hash of the page id.  Each record is a gzip member of its own, and an
+archive is one output file of Spark's text writer: the writer's line separator is
+the zero byte in which every member ends, so the file is a plain gzipped WARC file
+(every record can be read alone) and a lost task is written again by the committer.
+The place of each record is known before anything is written: compression is
+deterministic, and an offset is the running sum of lengths within the archive.  The index (archive, offset,
 length, URL, digest, page) is a table of its own and is written first.
 
 Reading: the index rows of the selected records are sorted by archive and offset,
@@ -23,6 +24,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -58,12 +60,17 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
     told = kept_in_table(decided(rows, least), "decided")
     id_ = F.coalesce("page_id", F.lit(-1))
     archive = F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int")
-    left = rows.withColumn("archive", archive).withColumn("k", id_)
-    right = told.select(id_.alias("k"), "digest", "again", "first")
-    both = left.join(right, ["k", "digest"])
+    # decisions travel as rows of their own, so that the pages are shuffled once, to
+    # their archive, where a window hands them over
+    left = rows.withColumn("archive", archive).withColumn("k", id_).withColumn("page", F.lit(1))
+    right = told.select(F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int").alias("archive"), id_.alias("k"),
+                        "digest", "again", "first", F.lit(0).alias("page"))
+    both = left.unionByName(right, allowMissingColumns=True).repartition(archives, "archive")
+    same = Window.partitionBy("archive", "k", "digest")
     # equal digests are equal payloads, so the order needs no html
-    nth = F.row_number().over(Window.partitionBy("k", "digest").orderBy("url"))
-    both = both.withColumn("again", F.col("again") | ((nth > 1) & (F.col("payload_bytes") >= least)))
+    nth = F.row_number().over(same.orderBy(F.desc("page"), "url"))
+    both = (both.withColumn("again", F.max("again").over(same) | ((nth > 1) & (F.col("payload_bytes") >= least)))
+            .withColumn("first", F.max("first").over(same)).where("page = 1"))
     kind = F.when(F.col("again"), "revisit").otherwise("response")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     header = F.concat(
@@ -77,10 +84,27 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(F.col("again"), F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
         F.lit("\r\n"))
-    text = F.concat(header, F.when(F.col("again"), F.lit("")).otherwise(F.col("html")))
-    payload = F.when(F.col("again"), F.lit(0)).otherwise(F.col("payload_bytes"))
-    return (both.withColumn("text", text).withColumn("length", (F.octet_length(header) + payload + len(END)).cast("long"))
-            .withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("again"), F.col("first"))))
+    text = F.concat(header, F.when(F.col("again"), F.lit("")).otherwise(F.col("html")), F.lit(END))
+    both = both.withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("again"), F.col("first")))
+    return both.select("archive", "k", "again", *[c for c in INDEX if c not in ("archive", "offset", "length")], text.alias("text")).mapInArrow(
+        _compressed, "archive int, k long, again boolean, url string, digest string, page_id long, record_type string, "
+                     "refers_to long, record binary, length long")
+
+
+def member(record: bytes) -> bytes:
+    """The record as gzip members that end in a zero byte: the last byte of a
+    member is the top byte of its length, and an empty member follows a long one."""
+    out = gzip.compress(record, 3, mtime=0)
+    return out if not out[-1] else out + gzip.compress(b"", 3, mtime=0)
+
+
+def _compressed(batches):
+    for batch in batches:
+        done = [member(x.as_py().encode("utf-8")) for x in batch.column("text")]
+        at = batch.schema.get_field_index("text")
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:at], pa.array([x[:-1] for x in done], pa.binary()), pa.array([len(x) for x in done], pa.int64())],
+            [*batch.schema.names[:at], "record", "length"])
 
 
 def write_archives(pages: DataFrame, folder: str, target: int = 32 << 20, least: int = 100) -> DataFrame:
@@ -95,7 +119,8 @@ def write_archives(pages: DataFrame, folder: str, target: int = 32 << 20, least:
     placed = rows.withColumn("offset", offset)
     placed.select(*INDEX).write.parquet(f"{folder}/index")
     # each archive goes to one task, sorted as the offsets were; the writer keeps that order
-    rows.repartition(archives, "archive").sortWithinPartitions("archive", *order).select("archive", "text").write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
+    (rows.sortWithinPartitions("archive", *order).select("archive", F.col("record").cast("string").alias("text"))
+     .write.partitionBy("archive").option("lineSep", "\0").text(f"{folder}/archives"))
     return pages.sparkSession.read.parquet(f"{folder}/index")
 
 
@@ -112,7 +137,7 @@ def archive_files(spark, folder: str) -> dict[int, str]:
 
 def parse(record: bytes) -> dict:
     """Header fields and payload of one record; the payload is checked."""
-    head, _, rest = record.partition(b"\r\n\r\n")
+    head, _, rest = gzip.decompress(record).partition(b"\r\n\r\n")
     lines = head.decode("utf-8").split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError(f"no record starts here: {lines[0][:40]!r}")
