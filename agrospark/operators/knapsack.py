@@ -180,10 +180,10 @@ def solve(items: DataFrame, capacities: DataFrame, max_exhaustive: int = MAX_EXH
 
 def greedy(items: DataFrame, capacities: DataFrame) -> DataFrame:
     """G15 (+ P24, O2): by value/measure descending (stable on position),
-    take an item when it still fits."""
+    take an item when it still fits; items without a measure come first."""
     inst = instances(items, capacities)
     srt = F.array_sort(F.transform("items", lambda x: F.struct(
-        (-(x.value / x.measure)).alias("nr"), x.pos.alias("pos"), x.measure.alias("measure"),
+        F.when(x.measure == 0, F.lit(float("-inf"))).otherwise(-(x.value / x.measure).cast("double")).alias("nr"), x.pos.alias("pos"), x.measure.alias("measure"),
         x.value.alias("value"))))
     init = F.struct(F.col("capacity").alias("left"), F.lit(0).cast("bigint").alias("v"),
                     F.lit(0).cast("bigint").alias("m"), F.array().cast("array<int>").alias("taken"))

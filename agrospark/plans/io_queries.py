@@ -250,23 +250,21 @@ def random_knapsack_instances(spark, d):
 
 
 @register("customer_latin1_semicolon_csv", covers=("S2", "S4", "P6"), sql="""
-SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal
+SELECT c_custkey, concat('Año ', c_name, ' é') AS c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal
 FROM customer""")
 def customer_latin1_semicolon_csv(spark, d):
     """Land customers as a ``;``-separated, quoted, Latin-1 file with ragged
     empty trailing header cells and ``s/i`` for missing values, then read it
     back: unnamed columns dropped, ``s/i`` -> NULL, text cast with try_cast."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    out = c.select("c_custkey", "c_name", "c_nationkey",
+    out = c.select("c_custkey", F.concat(F.lit("Año "), "c_name", F.lit(" é")).alias("c_name"), "c_nationkey",
                    F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal"))
                     .alias("c_acctbal"),
                    F.lit(None).cast("string").alias(""), F.lit(None).cast("string").alias(" "))
     path = scratch_path(spark, "semicolon-csv")
     (out.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
         .option("nullValue", "s/i").option("quoteAll", True).csv(path))
-    back = RD.read_semicolon_csv(spark, path)
-    back = RD.read_csv(spark, path, sep=";", encoding="ISO-8859-1", null_value="s/i") \
-        if not back.columns else back
+    back = RD.read_semicolon_csv(spark, path, encoding="ISO-8859-1")
     return CL.cast_columns(back, {"c_custkey": "bigint", "c_nationkey": "int",
                                   "c_acctbal": "double"})
 

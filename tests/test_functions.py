@@ -89,3 +89,26 @@ def test_previous_months_window(spark):
     assert got[("s", 2001)] == [None, None] + [float(m) for m in range(1, 13)]
     assert got[("s", 2002)] == [float(m) for m in range(7, 21)]
     assert got[("s", 2000)] == [] and got[("t", 2002)] == []
+
+
+def test_tours_keep_fractional_coordinates(spark):
+    from agrospark.operators import tours
+    pts = spark.createDataFrame([(1, 0, 0.0, 0.0), (1, 1, 0.9, 0.0), (1, 2, 0.4, 0.0)],
+                                "instance_id long, idx int, x double, y double")
+    got = {r["origin"]: r for r in tours.nearest_neighbour_tours(pts).collect()}
+    assert abs(got[0]["total"] - 1.8) < 1e-12 and list(got[0]["tour"]) == [0, 2, 1, 0]
+
+
+def test_bit_objective_follows_the_gene_count(spark):
+    from agrospark.operators import evolution
+    df = spark.sql("SELECT array(transform(sequence(1, 40), x -> 1), transform(sequence(1, 40), x -> 0)) AS pop")
+    assert list(evolution.bits_objective(df).first()["obj"]) == [1.0, 0.0]
+
+
+def test_greedy_takes_items_without_a_measure_first(spark):
+    from agrospark.operators import knapsack
+    items = spark.createDataFrame([(1, 0, 5, 10), (1, 1, 0, 3), (1, 2, 6, 50)],
+                                  "instance_id long, pos int, measure long, value long")
+    cap = spark.createDataFrame([(1, 6)], "instance_id long, capacity long")
+    r = knapsack.greedy(items, cap).first()
+    assert (r["greedy_value"], r["greedy_items"]) == (53, "2,3")
