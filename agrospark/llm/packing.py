@@ -90,6 +90,15 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     for k, v in counts.items():
         left[k] = v
     out = []
+    indexed = [None, None]         # the available lengths and, by sum, whether two of them add up to it
+
+    def pair_sums() -> np.ndarray:
+        have = left > 0
+        have[0] = False
+        if indexed[0] is None or (have != indexed[0]).any():
+            spread = np.fft.rfft(have, 2 * capacity + 2)
+            indexed[:] = have, np.fft.irfft(spread * spread)[:capacity + 1] > 0.5
+        return indexed[1]
 
     def take(pattern: list[int]) -> None:
         own, times = np.unique(pattern, return_counts=True)
@@ -117,9 +126,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             return [length, gap]
         if got := pair(gap, length):
             return [length, *got]
-        for a in np.flatnonzero(left[:gap])[::-1].tolist():
-            if a == 0 or left[a] < 1 + (a == length):
+        sums = pair_sums()
+        for a in np.flatnonzero((left[1:gap] > 0) & sums[gap - 1:0:-1])[::-1] + 1:
+            if left[a] < 1 + (a == length):
                 continue
+            a = int(a)
             left[a] -= 1
             got = pair(gap - a, length)
             left[a] += 1
