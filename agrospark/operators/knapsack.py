@@ -12,14 +12,18 @@ order; capacities: ``(instance_id, capacity)``.
   lexicographic positions) found with a plain ``min`` over an ordering
   struct: partial aggregation, no sort, no window.
 * Beyond ``max_exhaustive`` items (the reference refuses more than 20) the
-  same outputs are computed exactly by dynamic programming over capacity
-  (counts by size and feasibility, best value / size / lexicographic
-  subset), one instance per pandas row in ``mapInPandas``: no cap that
-  drops instances.
+  same outputs come from an exact dynamic programme over capacity, one
+  instance per row in ``mapInPandas``; any number of items.
+
+A capacity without items has the empty subset; items without a capacity are no
+instance.
 """
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,7 @@ from ..functions.numeric import uniform_int
 
 CHUNK = 4096
 MAX_EXHAUSTIVE = 20
+MASK_ITEMS = 62           # items whose subset mask fits a long
 
 _SUMS = """
 aggregate(sequence(0, n - 1), named_struct('m', CAST(0 AS BIGINT), 'v', CAST(0 AS BIGINT),
@@ -44,9 +49,10 @@ def instances(items: DataFrame, capacities: DataFrame) -> DataFrame:
     arr = items.groupBy("instance_id").agg(F.array_sort(F.collect_list(F.struct(
         F.col("pos").cast("int").alias("pos"), F.col("measure").cast("bigint").alias("measure"),
         F.col("value").cast("bigint").alias("value")))).alias("items"))
-    return (arr.join(capacities.select("instance_id", F.col("capacity").cast("bigint")),
-                     "instance_id")
-               .withColumn("n", F.size("items")))
+    return (capacities.select("instance_id", F.col("capacity").cast("bigint"))
+            .join(arr, "instance_id", "left")
+            .withColumn("items", F.coalesce("items", F.array().cast(arr.schema["items"].dataType)))
+            .withColumn("n", F.size("items")))
 
 
 def enumerate_subsets(inst: DataFrame) -> DataFrame:
@@ -100,47 +106,42 @@ def size_distribution(inst: DataFrame) -> DataFrame:
 
 # ---- exact dynamic programme for large instances ---------------------------
 def _dp_one(measures, values, cap):
-    """Counts by size of feasible subsets + best (value, -size, lexicographic)."""
+    """Number of feasible subsets and the best one's 0-based positions (highest
+    value, then fewest items, then lexicographically first); nothing fits a
+    negative or missing capacity.
+
+    One row of capacities at a time; of each item only a bit per capacity stays.
+    """
+    if cap is None or cap < 0:
+        return 0, None
     n = len(measures)
-    cap = int(cap)
-    capp = max(cap, -1) + 1
-    # cnt[k, c] = number of subsets of size k with total measure exactly c (c <= cap)
-    cnt = np.zeros((n + 1, capp), dtype=object)
-    if capp > 0:
-        cnt[0, 0] = 1
-    for m in measures:
-        m = int(m)
-        if m < capp:
-            cnt[1:, m:] = cnt[1:, m:] + cnt[:-1, :capp - m]
-    feas_by_size = [int(sum(cnt[k])) for k in range(n + 1)] if capp > 0 else [0] * (n + 1)
-    # suffix DP: best[i][c] = (value, -size) using items i.. with capacity c
-    NEG = (-1, 0)
-    best = [[(0, 0)] * capp for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        m, v = int(measures[i]), int(values[i])
-        row_next, row = best[i + 1], [None] * capp
-        for c in range(capp):
-            skip = row_next[c]
-            if m <= c:
-                t = row_next[c - m]
-                take = (t[0] + v, t[1] - 1)
-                row[c] = take if take > skip else skip
-            else:
-                row[c] = skip
-        best[i] = row
-    if capp == 0:
-        return feas_by_size, None
-    target = best[0][cap]
-    chosen, c, acc = [], cap, (0, 0)
-    for i in range(n):
-        m, v = int(measures[i]), int(values[i])
-        if m <= c:
-            rest = best[i + 1][c - m]
-            if (acc[0] + v + rest[0], acc[1] - 1 + rest[1]) == target:
-                chosen.append(i)
-                acc = (acc[0] + v, acc[1] - 1)
-                c -= m
-    return feas_by_size, (target[0], sum(int(measures[i]) for i in chosen), chosen)
+    unit = math.gcd(*measures) or 1
+    cap = min(cap, sum(measures)) // unit
+    count = np.zeros(cap + 1, object if n > MASK_ITEMS else np.int64)
+    count[0] = 1
+    best = np.zeros(cap + 1, np.int64)          # value * (n + 1) - size
+    taken = []
+    for m, v in zip(measures[::-1], values[::-1]):
+        m //= unit
+        if m > cap:
+            taken.append(None)
+            continue
+        count[m:] = count[m:] + count[:cap + 1 - m]
+        with_item = np.full(cap + 1, np.iinfo(np.int64).min)
+        with_item[m:] = best[:cap + 1 - m] + (v * (n + 1) - 1)
+        taken.append(np.packbits(with_item >= best))
+        best = np.maximum(best, with_item)
+    chosen, c = [], cap
+    for i, bits in enumerate(taken[::-1]):
+        if bits is not None and bits[c >> 3] >> (7 - (c & 7)) & 1:
+            chosen.append(i)
+            c -= measures[i] // unit
+    return int(count.sum()), chosen
+
+
+def _count(n: int):
+    """A count as DECIMAL(38,0); NULL if it has more digits than that."""
+    return Decimal(n) if n < 10 ** 38 else None
 
 
 def _dp_batches(batches):
@@ -150,32 +151,37 @@ def _dp_batches(batches):
         for iid, items, cap in zip(pdf["instance_id"], pdf["items"], pdf["capacity"]):
             ms = [int(x["measure"]) for x in items]
             vs = [int(x["value"]) for x in items]
-            by_size, best = _dp_one(ms, vs, cap)
             n = len(ms)
-            mask = sum(1 << i for i in best[2]) if best else None
-            out.append((int(iid), n, 1 << n, sum(by_size), best[0] if best else None,
-                        best[1] if best else None, mask))
-        yield pd.DataFrame(out, columns=["instance_id", "n", "n_subsets", "n_feasible",
-                                         "best_value", "best_measure", "best_mask"])
+            feasible, chosen = _dp_one(ms, vs, None if pd.isna(cap) else int(cap))
+            some = chosen is not None
+            out.append((int(iid), n, _count(1 << n), _count(feasible),
+                        sum(vs[i] for i in chosen) if some else None,
+                        sum(ms[i] for i in chosen) if some else None,
+                        sum(1 << i for i in chosen) if some and n <= MASK_ITEMS else None,
+                        ",".join(str(i + 1) for i in chosen) if some else None))
+        yield pd.DataFrame(out, dtype=object, columns=["instance_id", "n", "n_subsets", "n_feasible", "best_value",
+                                                       "best_measure", "best_mask", "best_items"])
 
 
 def dp_search(inst: DataFrame) -> DataFrame:
-    """Exact equivalent of :func:`exhaustive_search` by dynamic programming."""
+    """Exact equivalent of :func:`exhaustive_search` by dynamic programming, for
+    any number of items; ``best_mask`` is NULL beyond ``MASK_ITEMS`` of them."""
     return inst.select("instance_id", "items", "capacity").mapInPandas(
-        _dp_batches, "instance_id long, n int, n_subsets long, n_feasible long, "
-                     "best_value long, best_measure long, best_mask long")
+        _dp_batches, "instance_id long, n int, n_subsets decimal(38,0), n_feasible decimal(38,0), "
+                     "best_value long, best_measure long, best_mask long, best_items string")
 
 
 def solve(items: DataFrame, capacities: DataFrame, max_exhaustive: int = MAX_EXHAUSTIVE
           ) -> DataFrame:
     """Best subset per instance: exhaustive up to ``max_exhaustive`` items,
-    exact DP beyond; items are reported as 1-based positions."""
+    exact DP beyond; items are reported as 1-based positions, counts as
+    DECIMAL(38,0)."""
     inst = instances(items, capacities)
     small = exhaustive_search(inst.filter(F.col("n") <= max_exhaustive))
-    large = dp_search(inst.filter(F.col("n") > max_exhaustive))
-    both = small.unionByName(large.select(*small.columns))
-    return both.withColumn(
+    small = small.withColumns({c: F.col(c).cast("decimal(38,0)") for c in ("n_subsets", "n_feasible")})
+    small = small.withColumn(
         "best_items", F.array_join(F.transform(_positions(), lambda i: (i + 1).cast("string")), ","))
+    return small.unionByName(dp_search(inst.filter(F.col("n") > max_exhaustive)))
 
 
 def greedy(items: DataFrame, capacities: DataFrame) -> DataFrame:

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.text import (board_crop_key, crop_alias, first_quoted_price,
                               price_text_to_number)
 
-# Upper bound on the number of distinct unquoted crops shipped to the driver
-# for the substring fallback; a crop catalogue is a small fixed list.
-MAX_FALLBACK_CROPS = 10_000
-
 
 def board_a_prices(entries: DataFrame, order: list[str]) -> DataFrame:
     """P14 + P15 + W8: normalised crop key and first quoted price; the first
@@ -31,29 +27,24 @@ def fallback_prices(quoted: DataFrame, cards: DataFrame, extra_crops: list[str]
     the upper-case crop; its first price text is parsed (P13).  Crops with
     no card keep a NULL price (not the previous crop's price).
 
-    The unquoted crop set is small and size-checked, so it travels as a
-    literal array and the match is a per-card ``filter`` + ``min`` by crop:
-    no theta join.
+    "Contains" is an equi-join of the crops with the substrings of each title
+    (titles are a few words long), so any number of crops is matched without a
+    theta join and nothing goes through the driver.
     """
     card_order = card_order or ["card_pos"]
-    unq = [r[0] for r in quoted.filter(F.col("price") == 0).select("crop_key").distinct()
-           .limit(MAX_FALLBACK_CROPS + 1).collect()]
-    unq = sorted(set(unq) | set(extra_crops or []))
-    if len(unq) > MAX_FALLBACK_CROPS:
-        raise ValueError("too many unquoted crops for the fallback lookup")
-    kept = quoted.filter(F.col("price") != 0)
-    if not unq:
-        return kept
-    arr = F.array(*[F.lit(c) for c in unq])
-    hits = (cards.select(*card_order, "title", "price_text",
-                         F.explode(F.filter(arr, lambda c: F.contains(F.upper("title"), F.upper(c))))
-                         .alias("crop_key"))
-                 .groupBy("crop_key")
-                 .agg(F.min(F.struct(*card_order, "price_text")).alias("_f")))
-    wanted = quoted.sparkSession.createDataFrame([(c,) for c in unq], "crop_key string")
-    fb = (wanted.join(hits, "crop_key", "left")
-                .select("crop_key", price_text_to_number(F.col("_f.price_text")).alias("price")))
-    return kept.unionByName(fb)
+    wanted = quoted.filter(F.col("price") == 0).select("crop_key")
+    if extra_crops:
+        wanted = wanted.unionByName(quoted.sparkSession.createDataFrame([(c,) for c in extra_crops], "crop_key string"))
+    wanted = wanted.distinct().withColumn("_part", F.upper("crop_key"))
+    title = F.upper("title")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(title)), lambda i: F.transform(
+        F.sequence(F.lit(0), F.length(title) - i + 1), lambda n: F.substring(title, i, n))))
+    cut = (cards.filter(F.length("title") > 0)
+           .select(*card_order, "price_text", F.explode(F.array_distinct(parts)).alias("_part")))
+    fb = (wanted.join(cut, "_part", "left").groupBy("crop_key")
+          .agg(F.min(F.when(F.col(card_order[0]).isNotNull(), F.struct(*card_order, "price_text"))).alias("_f")))
+    fb = fb.select("crop_key", price_text_to_number(F.col("_f.price_text")).alias("price"))
+    return quoted.filter(F.col("price") != 0).unionByName(fb)
 
 
 def store_names(prices: DataFrame, crop: str = "crop_key") -> DataFrame:

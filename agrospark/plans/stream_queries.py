@@ -1,5 +1,5 @@
-"""Streaming queries over the events table (rows-only: watermark timing
-decides which windows are final when the available data ends)."""
+"""Streaming queries over the events table, run to the end of the landed data
+(a closing row lets the watermark pass the last day)."""
 
 from __future__ import annotations
 
@@ -10,27 +10,39 @@ from ..streaming import rollups as S
 from .registry import register
 
 
-def _events_stream(spark, d, name):
-    ev = read_table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"),
-                                               "event_type", "value")
-    src = S.land_as_stream_source(ev, name)
+def _events_stream(spark, d, name, closed_by=None):
+    ev = read_table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value",
+                                               F.col("value").cast("decimal(18,2)").alias("amount"))
+    src = S.land_as_stream_source(ev, name, closed_by)
     return spark.readStream.schema(ev.schema).parquet(src)
 
 
-@register("events_daily_stream_rollup", covers=("X1",), sql=None)
+@register("events_daily_stream_rollup", covers=("X1",), sql="""
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS mean
+FROM events GROUP BY 1, 2""")
 def events_daily_stream_rollup(spark, d):
-    st = _events_stream(spark, d, "events-daily")
-    return S.run_append(spark, S.daily_rollup(st, "ts", ["event_type"], "value"), "events-daily")
+    st = _events_stream(spark, d, "events-daily", closed_by="ts")
+    out = S.run_append(spark, S.daily_rollup(st, "ts", ["event_type"], "amount"), "events-daily")
+    return out.withColumn("total", F.col("total").cast("double"))
 
 
-@register("events_monthly_stream_rollup", covers=("X2",), sql=None)
+@register("events_monthly_stream_rollup", covers=("X2",), sql="""
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type, count(*) AS n,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM events GROUP BY 1, 2""")
 def events_monthly_stream_rollup(spark, d):
     st = _events_stream(spark, d, "events-monthly")
-    return S.run_update(spark, S.monthly_rollup(st, "ts", ["event_type"], "value"),
-                        "events-monthly", ["month", "event_type"])
+    out = S.run_update(spark, S.monthly_rollup(st, "ts", ["event_type"], "amount"),
+                       "events-monthly", ["month", "event_type"])
+    return out.withColumns({"month": F.col("month").cast("date"), "total": F.col("total").cast("double")})
 
 
-@register("events_first_per_day_stream", covers=("X3",), sql=None)
+@register("events_first_per_day_stream", covers=("X3",), sql="""
+SELECT day, event_type, strftime(r.ts, '%Y-%m-%d %H:%M:%S') AS latest, r.value AS value
+FROM (SELECT CAST(ts AS DATE) AS day, event_type, max({'ts': ts, 'value': value}) AS r FROM events GROUP BY 1, 2)""")
 def events_first_per_day_stream(spark, d):
-    st = _events_stream(spark, d, "events-first")
-    return S.run_append(spark, S.latest_per_day(st, "ts", "event_type"), "events-first")
+    st = _events_stream(spark, d, "events-first", closed_by="ts").drop("amount")
+    out = S.run_append(spark, S.latest_per_day(st, "ts", "event_type"), "events-first")
+    return out.select("day", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("latest"), "value")

@@ -88,10 +88,7 @@ def _parse_boards(batches):
         out = []
         for pid, html in zip(pdf["page_id"], pdf["html"]):
             p = _BoardParser()
-            try:
-                p.feed(html or "")
-            except Exception:
-                continue
+            p.feed(html or "")
             for i, (crop, rows) in enumerate(p.a_entries):
                 # a board entry needs three rows: header, ARS, USD
                 if crop is None or len(rows) < 3:

@@ -21,7 +21,7 @@ def daily_rollup(stream: DataFrame, ts: str, keys: list[str], value: str,
     return (stream.withWatermark(ts, delay)
                   .groupBy(F.window(ts, "1 day").alias("w"), *keys)
                   .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"),
-                       F.avg(value).alias("mean"))
+                       (F.sum(value).cast("double") / F.count(value)).alias("mean"))
                   .select(F.col("w.start").cast("date").alias("day"), *keys, "n", "total", "mean"))
 
 
@@ -35,16 +35,27 @@ def monthly_rollup(stream: DataFrame, ts: str, keys: list[str], value: str,
 
 
 def latest_per_day(stream: DataFrame, ts: str, key: str, delay: str = "1 day") -> DataFrame:
-    """First row per (day, key) within the watermark (state bounded)."""
+    """The latest row per (day, key); rows of the same time by their other
+    columns.  State is one row per open day and key."""
+    rest = [c for c in stream.columns if c not in (ts, key)]
     return (stream.withWatermark(ts, delay)
-                  .withColumn("day", F.col(ts).cast("date"))
-                  .dropDuplicatesWithinWatermark(["day", key]))
+                  .groupBy(F.window(ts, "1 day").alias("w"), key)
+                  .agg(F.max(F.struct(ts, *rest)).alias("r"))
+                  .select(F.col("w.start").cast("date").alias("day"), key, "r.*"))
 
 
-def land_as_stream_source(df: DataFrame, name: str, files: int = 4) -> str:
-    """Write a table as a folder of files a file stream source can read."""
+def land_as_stream_source(df: DataFrame, name: str, closed_by: str | None = None) -> str:
+    """Write a table as a folder of files a file stream source can read.
+
+    ``closed_by`` names the event time: a last row three days after the newest
+    one, NULL elsewhere, lets the watermark pass the last day, whose windows an
+    append-mode query would otherwise never emit (the row's own never is)."""
     path = scratch_path(df.sparkSession, f"{name}-src")
-    df.repartition(files).write.parquet(path)
+    df.write.parquet(path)
+    if closed_by:
+        end = df.agg(F.expr(f"date_trunc('DAY', max({closed_by})) + INTERVAL 3 DAYS").alias(closed_by))
+        nulls = [F.lit(None).cast(t).alias(c) if c != closed_by else F.col(c) for c, t in df.dtypes]
+        end.filter(F.col(closed_by).isNotNull()).select(*nulls).write.mode("append").parquet(path)
     return path
 
 
