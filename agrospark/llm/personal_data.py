@@ -4,8 +4,9 @@ The base patterns give the spans of the contract, exactly.  The tagger is traine
 from labelled spans of a bounded sample (base spans and rewritten forms of them:
 other separators, a missing plus sign, ``at`` for @, an address cut by spaces)
 and adds what the patterns miss.  It reads windows of 64 characters at a stride of 32 over the whole text.
-Windows without a digit and without @ are not decoded: none of the four kinds
-can be there, in any form that the tagger learns.  The decoded spans of all
+Decoded are the windows around a digit, an @, `` at `` or ``(at)`` (in any case):
+every form that the tagger learns holds one of these, and a span without one is
+not plausible.  The decoded spans of all
 windows of a document are reconciled together: pieces of one span that windows
 cut are joined, then the non-overlapping set of largest total posterior is kept
 (weighted interval scheduling), then spans that meet a base span go.
@@ -34,14 +35,22 @@ from .tagger import KINDS, LENGTH, PAD, Tagger, classes
 
 STRIDE = LENGTH // 2
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# the other spellings: a user, a mark that stands for the @, a host with a dot
+SPELT = re.compile(r"[A-Za-z0-9._%+-]+(?:\x20@\x20?|@\x20|\x20[Aa][Tt]\x20|\x20?\([Aa][Tt]\)\x20?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
 # a run of digits matches from its first digit or not at all, hence the look-behind
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-TRIGGER = re.compile("[0-9@]")
+TRIGGER_FORMS = r"[0-9@]|\x20[Aa][Tt]\x20|\([Aa][Tt]\)"     # one of them is in every form of _variants
+TRIGGER = re.compile(TRIGGER_FORMS)
 NOT_DIGITS = re.compile("[^0-9]+")
+DIGITS = re.compile("[0-9]+")
+AT = re.compile(r"(?<=[a-z])\x20(?=[a-z])")
+WORDS = re.compile("(?<![^ ])[a-z]{3,}(?![^ ])")
+ENDINGS = ("com", "org", "net", "de", "es", "co.uk", "info")
+EDGES = re.compile("^[._%+-]+|[._%+-]+$")
 
 
 def luhn(digits: str) -> bool:
@@ -87,14 +96,13 @@ def joined(spans) -> str:
 
 
 def window_starts(text: str) -> list[int]:
-    """Starts of the windows on the grid that hold a digit or @."""
+    """Starts of the windows on the grid that meet a trigger."""
     out: dict[int, None] = {}
     last = max(0, (len(text) - 1) // STRIDE)
     for m in TRIGGER.finditer(text):
-        g = m.start() // STRIDE
-        if g:
-            out[(g - 1) * STRIDE] = None
-        out[min(g, last) * STRIDE] = None
+        lo, hi = m.start() // STRIDE, (m.end() - 1) // STRIDE
+        for g in range(max(0, lo - 1), min(hi, last) + 1):
+            out[g * STRIDE] = None
     return sorted(out)
 
 
@@ -135,7 +143,7 @@ def plausible(kind: int, piece: str) -> bool:
     """What a span of the kind must hold, in any spelling."""
     d = len(NOT_DIGITS.sub("", piece))
     if kind == 0:
-        return ("@" in piece or " at " in piece.lower() or "(at)" in piece.lower()) and len(piece) >= 6
+        return bool("@" in piece or SPELT.fullmatch(piece)) and len(piece) >= 6
     if kind == 1:
         parts = NOT_DIGITS.split(piece.strip())
         return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
@@ -144,8 +152,24 @@ def plausible(kind: int, piece: str) -> bool:
     return 10 <= d <= 15
 
 
-def added_spans(tagger: Tagger, texts: list[str], bases, least: float = 0.9):
-    """For each text the tagger's spans that no base span meets."""
+def bounded(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """The span; one of an address in another spelling up to the ends of the address."""
+    if kind == 0:
+        for m in SPELT.finditer(text, max(0, start - LENGTH), min(len(text), end + LENGTH)):
+            if m.start() < end and start < m.end():
+                return m.start(), m.end()
+    return start, end
+
+
+def sure(kind: int, prob: np.ndarray) -> float:
+    """Posterior of a span: of its least sure character; of an address, whose ends are
+    those of the address (see bounded), the mean."""
+    return float(prob.mean() if kind == 0 else prob.min())
+
+
+def added_spans(tagger: Tagger, texts: list[str], bases, least: float = 0.9, least_spelt: float = 0.7):
+    """For each text the tagger's spans that no base span meets, of a posterior of at
+    least ``least``, or ``least_spelt`` where the span has the form of an address."""
     rows, where = [], []
     for i, text in enumerate(texts):
         if not text:
@@ -170,22 +194,28 @@ def added_spans(tagger: Tagger, texts: list[str], bases, least: float = 0.9):
                 k, b = (t[a] - 1) // 2, a + 1
                 while b < n and t[b] == 2 * k + 2:
                     b += 1
-                found.setdefault(i, []).append((int(k), s + a, s + b, float(prob[r, a:b].min())))
+                found.setdefault(i, []).append((int(k), s + a, s + b, sure(k, prob[r, a:b])))
                 a = b
     out = [[] for _ in texts]
     for i, spans in found.items():
-        for k, s, e, q in reconcile(spans):
-            if q >= least and plausible(k, texts[i][s:e]) and not any(s < e2 and s2 < e for _, s2, e2 in bases[i]):
+        for k, s, e, q in reconcile([(k, *bounded(k, texts[i], s, e), q) for k, s, e, q in spans]):
+            spelt = k == 0 and SPELT.fullmatch(texts[i][s:e])
+            if q >= (least_spelt if spelt else least) and plausible(k, texts[i][s:e]) and not any(s < e2 and s2 < e for _, s2, e2 in bases[i]):
                 out[i].append((k, s, e))
     return out
 
 
-def _variants(kind: int, piece: str, draw: int) -> str:
+def _variants(kind: int, piece: str, draw: int, words: list[str] = ()) -> str:
     """Another spelling of a labelled span; the span itself for draw 0."""
     if draw == 0:
         return piece
     if kind == 0:
         user, host = piece.split("@", 1)
+        if draw > 3:                     # an address without digits
+            user, host = EDGES.sub("", DIGITS.sub("", user)) or user, DIGITS.sub("", host)
+        if draw > 6 and words:           # of other words and another ending
+            user = words[draw % len(words)] + ("", f".{user}")[draw % 2]
+            host = f"{words[-1 - draw % len(words)]}.{ENDINGS[(draw + len(user)) % len(ENDINGS)]}"
         return (f"{user} at {host}", f"{user}(at){host}", f"{user} @ {host}")[draw % 3]
     if kind == 1:
         return piece.replace(".", (" . ", "-", " ")[draw % 3]) if draw % 3 == 0 else piece
@@ -224,17 +254,23 @@ def training_windows(docs: DataFrame, most: int) -> list[tuple[str, list[list[in
 
 
 def train(windows) -> Tagger | None:
-    """The tagger from labelled windows; each window also in another spelling."""
+    """The tagger from labelled windows; each window also in other spellings, one with
+    an address also in spellings without digits, one without a span also with a bare
+    ``at`` between two words."""
     xs, ys = [], []
-    for n, (piece, spans) in enumerate(windows):
-        for draw in (0, 1 + n % 3) if spans else (0,):
+    bare = [(AT.sub(" at ", piece, count=1), []) for piece, spans in windows if not spans]
+    for n, (piece, spans) in enumerate([*windows, *bare]):
+        address = any(k == 0 for k, _, _ in spans)
+        words = WORDS.findall(piece)
+        draws = (0, 1 + n % 3, 4 + n % 3, *range(7 + n % 2, 13, 2)) if address else (0, 1, 2, 3) if spans else (0,)
+        for draw in draws:
             text, labels, at = "", [], 0
             for k, s, e in sorted(spans, key=lambda x: x[1]):
                 if s < at:
                     continue
                 text += piece[at:s]
                 labels += [0] * (len(text) - len(labels))
-                new = _variants(k, piece[s:e], draw)
+                new = _variants(k, piece[s:e], draw, words)
                 text += new
                 labels += [2 * k + 1] + [2 * k + 2] * (len(new) - 1)
                 at = e
@@ -251,14 +287,15 @@ def train(windows) -> Tagger | None:
             ys.append(y)
     if not any(y.any() for y in ys):
         return None
-    return Tagger().fit(np.array(xs), np.array(ys))
+    return Tagger().fit(np.array(xs), np.array(ys), steps=450)
 
 
 def find_spans(docs: DataFrame, sample_windows: int = 360, sample_of: int = 1500) -> DataFrame:
     """All columns of documents with ``base`` and ``spans``: arrays of
     (kind, start, end), kinds as in KINDS, by kind and start.
 
-    The sample comes from about ``sample_of`` documents with a digit or an @."""
+    The sample comes from about ``sample_of`` documents with a digit or an @: only
+    they can hold a labelled span."""
     docs = docs.drop("base", "spans")
     with_trigger = docs.where(F.col("text").rlike("[0-9@]"))
     n = with_trigger.count()

@@ -180,6 +180,22 @@ def test_tagger_finds_other_spellings(spark, empty):
     assert personal_data.find_spans(empty).count() == 0
 
 
+def test_tagger_finds_addresses_without_digit_or_at_sign(spark):
+    r = random.Random(6)
+    pad = lambda: " ".join(r.choice(WORDS) for _ in range(r.randint(3, 9)))
+    out = [(i, f"{pad()} {r.choice(WORDS)}.{r.randint(10, 99)}@mail{r.randint(1, 9)}.example.com {pad()}") for i in range(220)]
+    plain = [f"{r.choice(WORDS)} at {pad()} and at {pad()}" for _ in range(20)]
+    spelt = ["jane.doe at example.com", "jane(at)example.org", "JOHN.SMITH AT mail.example.com", "maria.lopez(At)test.example.net"]
+    far = [(i, "alpha beta gamma " * k + f"write to {a} for the rest") for i, (k, a) in enumerate([(k, a) for k in (0, 1, 2, 40) for a in spelt], 1000)]
+    frame = spark.createDataFrame(out + far + list(enumerate(plain, 2000)), "doc_id long, text string")
+    got = {x["doc_id"]: [tuple(s) for s in x["spans"]] for x in personal_data.find_spans(frame).collect()}
+    for (i, t), a in zip(far, spelt * 4):
+        assert got[i] == [(0, t.index(a), t.index(a) + len(a))], t
+    assert not any(got[i] for i in range(2000, 2020))
+    for draw in range(13):                # every form of the training meets a trigger
+        assert personal_data.TRIGGER.search(personal_data._variants(0, "jane.doe@example.com", draw, ["alpha", "beta"]))
+
+
 def test_windows_are_reconciled_globally():
     spans = [(3, 10, 30, 0.9), (3, 22, 34, 0.95), (2, 31, 40, 0.5), (0, 50, 60, 0.9)]
     assert personal_data.reconcile(spans) == [(3, 10, 34, 0.95), (0, 50, 60, 0.9)]
