@@ -23,6 +23,7 @@ RAIN_GBT = dict(maxIter=700, stepSize=0.05, maxDepth=3, subsamplingRate=0.8, see
 WIND_GBT = dict(maxIter=1000, stepSize=0.05, maxDepth=3, subsamplingRate=1.0, seed=1)
 YIELD_GRID = dict(maxIter=[500, 1000], stepSize=[0.001, 0.05], maxDepth=[1, 3],
                   subsamplingRate=[0.5, 1.0])
+FOLDS = 5
 
 
 def gbt_pipeline(features: list[str], label: str, **params) -> Pipeline:
@@ -33,7 +34,7 @@ def gbt_pipeline(features: list[str], label: str, **params) -> Pipeline:
         GBTRegressor(featuresCol="features", labelCol=label, **p)])
 
 
-def kfold_score(df: DataFrame, pipeline: Pipeline, label: str, folds: int = 5, seed: int = 1,
+def kfold_score(df: DataFrame, pipeline: Pipeline, label: str, folds: int = FOLDS, seed: int = 1,
                 grid=None, parallelism: int = 1):
     """K-fold CV (shuffled, seeded), MSE; returns the fitted
     CrossValidatorModel and the mean negative MSE of each grid point."""
@@ -46,7 +47,7 @@ def kfold_score(df: DataFrame, pipeline: Pipeline, label: str, folds: int = 5, s
 
 
 def grid_search(df: DataFrame, features: list[str], label: str, grid_values: dict | None = None,
-                folds: int = 5, seed: int = 1, parallelism: int = 4):
+                folds: int = FOLDS, seed: int = 1, parallelism: int = 4):
     """M5: grid over GBT parameters, k-fold CV, best model refit on all rows."""
     pipe = gbt_pipeline(features, label)
     gbt = pipe.getStages()[-1]
@@ -58,7 +59,7 @@ def grid_search(df: DataFrame, features: list[str], label: str, grid_values: dic
 
 
 def depth_sweep(df: DataFrame, features: list[str], label: str, max_depth: int = 9,
-                folds: int = 5, seed: int = 1) -> list[tuple[int, float]]:
+                folds: int = FOLDS, seed: int = 1) -> list[tuple[int, float]]:
     """M3: decision tree of depth 1..max_depth, k-fold score each; stops when
     the fitted tree no longer reaches the requested depth."""
     out = []

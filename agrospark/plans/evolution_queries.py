@@ -18,6 +18,8 @@ from .tables import R, with_ctes
 
 N_IND, N_BITS, N_SEL, K_TOUR = 10, 30, 8, 4
 P_CROSS, P_MUT = 0.75, 0.05
+# the reference's tour search; its other two searches ask for the number of generations
+GENERATIONS, TOUR_IND, TOUR_K = 200, 50, 20
 CROPS = ["economy", "large", "medium", "promo", "small", "standard"]
 
 
@@ -140,7 +142,7 @@ def bitstring_elites(spark, d):
 
 
 @register("bitstring_evolution_history", covers=("G13", "U2", "W7", "S15"), sql=None)
-def bitstring_evolution_history(spark, d, generations: int = 6):
+def bitstring_evolution_history(spark, d, generations: int = GENERATIONS):
     inst = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("instance_id"))
     pop = EV.init_bits(inst, N_IND, N_BITS)
     _, hist = EV.evolve(pop, EV.bits_objective, generations, N_IND - 2,
@@ -153,10 +155,10 @@ def bitstring_evolution_history(spark, d, generations: int = 6):
 
 
 # ---- tours -------------------------------------------------------------------
-def _tour_pop(spark, d):
+def _tour_pop(spark, d, n_ind: int = N_IND):
     from .search_queries import tour_nodes
     inst = TR.instance_points(tour_nodes(spark, d))
-    return EV.init_permutations(inst, N_IND, "n")
+    return EV.init_permutations(inst, n_ind, "n")
 
 
 @register("tour_population_lengths", covers=("G1", "G3", "J9", "A13"), sql=with_ctes(
@@ -191,12 +193,12 @@ def tour_population_lengths(spark, d):
 
 
 @register("tour_evolution_history", covers=("G8", "G10", "G13", "G5", "S15"), sql=None)
-def tour_evolution_history(spark, d, generations: int = 5):
-    pop = _tour_pop(spark, d)
-    _, hist = EV.evolve(pop, EV.tour_objective, generations, N_IND - 2,
+def tour_evolution_history(spark, d, generations: int = GENERATIONS):
+    pop = _tour_pop(spark, d, TOUR_IND)
+    _, hist = EV.evolve(pop, EV.tour_objective, generations, TOUR_IND - 2,
                         lambda x: EV.crossover_cycle(x, P_CROSS),
-                        lambda x: EV.mutate_swap(x, 0.2),
-                        selection="tournament", k=3, elitism=2, replace=False, avg_scale=None)
+                        lambda x: EV.mutate_swap(x, P_MUT),
+                        selection="tournament", k=TOUR_K, elitism=2, replace=False, avg_scale=None)
     return history_table(hist, "tour")
 
 
@@ -266,7 +268,7 @@ def allocation_population_revenue(spark, d):
 
 
 @register("allocation_evolution_totals", covers=("G7", "G12", "G10", "G13", "A7"), sql=None)
-def allocation_evolution_totals(spark, d, generations: int = 4):
+def allocation_evolution_totals(spark, d, generations: int = GENERATIONS):
     f = allocation_fields(spark, d)
     pop = EV.init_allocations(f, N_IND, len(CROPS))
     final, hist = EV.evolve(pop, EV.revenue_objective, generations, N_IND - 2,
