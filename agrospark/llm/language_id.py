@@ -251,9 +251,14 @@ def sample_counts(docs: DataFrame, trainable: F.Column, sample_docs: int,
 
 
 def identify(docs: DataFrame, trainable: F.Column, path: str | None = None,
-             sample_docs: int = 250, sample_words: int = 8000) -> DataFrame:
-    """All columns of ``docs`` (doc_id, text, lang needed) with lang_pred and score."""
-    docs = docs.drop("lang_pred", "score")
+             sample_docs: int = 250, sample_words: int = 8000, margin: bool = False) -> DataFrame:
+    """All columns of ``docs`` (doc_id, text, lang needed) with lang_pred and score.
+
+    ``margin`` adds a column of that name: by how much, per word, the best language's
+    log-likelihood is above that of a background in which every piece of the vocabulary
+    is equally likely (0 for und).  The posterior compares the learned languages only; a
+    text in none of them has a low margin, however long it is."""
+    docs = docs.drop("lang_pred", "score", *(["margin"] if margin else []))
     counts = sample_counts(docs, trainable, sample_docs, sample_words)
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     vocabulary, langs, probs = [], [], np.zeros((0, 0))
@@ -265,15 +270,17 @@ def identify(docs: DataFrame, trainable: F.Column, path: str | None = None,
 
     def run(batches):
         vocabulary, langs, probs = held.value
-        model = _model(vocabulary, langs, probs) if langs else None
+        flat = np.full((len(vocabulary), int(margin)), 1.0 / max(1, len(vocabulary)))
+        model = _model(vocabulary, langs, np.hstack([probs, flat])) if langs else None
         for batch in batches:
             for part in slices(batch, "text", 3 << 20):
-                pred, score = predict(model, langs, part.column("text").to_pylist())
+                pred, score, above = predict(model, langs, part.column("text").to_pylist())
+                extra = [pa.array(above, pa.float64())] if margin else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                    [*part.schema.names, "lang_pred", "score"])
+                    [*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), *extra],
+                    [*part.schema.names, "lang_pred", "score", "margin"][:len(part.columns) + 2 + len(extra)])
 
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double" + ", margin double" * margin)
 
 
 _MODELS: dict = {}
@@ -287,26 +294,31 @@ def _model(vocabulary, langs, probs) -> Model:
     return _MODELS["model"]
 
 
-def predict(model: Model | None, langs: list[str], texts: list) -> tuple[list[str], list[float]]:
-    """Language and posterior of each text (see the module)."""
+def predict(model: Model | None, langs: list[str], texts: list) -> tuple[list[str], list[float], list[float]]:
+    """Language and posterior of each text (see the module), and the margin over the
+    background if the model has it as a further column (else 0)."""
     if model is None:
-        return ["und"] * len(texts), [0.0] * len(texts)
+        return ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     words, first = [], [0]
     for t in texts:
         if t is not None and any(map(str.isalpha, t)):
             words += word_pieces(t)
         first.append(len(words))
-    total = np.zeros((len(texts), len(langs)))
+    total = np.zeros((len(texts), model.probs.shape[1]))
     if words:
         code, own = pd.factorize(np.array(words, dtype=object))
         logs = model.remembered(own)
-        for j in range(len(langs)):
+        for j in range(total.shape[1]):
             run = np.concatenate([[0.0], np.cumsum(logs[:, j][code] - logs[:, 0][code])])
             total[:, j] = run[first[1:]] - run[first[:-1]]
+    total, back = total[:, :len(langs)], total[:, len(langs):]
     best = total.argmax(1)
+    n = np.diff(first)
+    above = (total.max(1) - back[:, 0]) / np.maximum(n, 1) if back.shape[1] else np.zeros(len(texts))
     score = 1.0 / np.exp(np.clip(total - total.max(1, keepdims=True), -700, 0)).sum(1)
-    und = np.diff(first) == 0
-    return (np.where(und, "und", np.array(langs, dtype=object)[best]).tolist(), np.where(und, 0.0, score).tolist())
+    und = n == 0
+    return (np.where(und, "und", np.array(langs, dtype=object)[best]).tolist(), np.where(und, 0.0, score).tolist(),
+            np.where(und, 0.0, above).tolist())
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:

@@ -30,6 +30,19 @@ def test_stages_keep_columns_and_decide(spark):
     assert by["best-fit packing"].count() >= by["mix of sources"].count()
 
 
+def test_language_stage_rejects_what_no_learned_language_explains(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*cp.COLUMNS)
+    r = random.Random(4)
+    gibberish = [" ".join("".join(r.choice("qxzjkvwpbf") for _ in range(r.randint(3, 9))) for _ in range(200)) for _ in range(3)]
+    finnish = "hyvää päivää kaikille ystäville jotka ovat tulleet tänään kylään koska sää oli kaunis ja järvi tyyni " * 12
+    russian = "сегодня хорошая погода и мы идем гулять в парк вместе с друзьями потому что завтра будет дождь " * 12
+    planted = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate([*gibberish, finnish, russian])]
+    mixed = kept_in_table(docs.union(spark.createDataFrame(planted, docs.schema)), "docs")
+    ids = {x["doc_id"] for x in cp.language(spark, mixed, SF).select("doc_id").collect()}
+    assert not [i for i in ids if i < 0]
+    assert len(ids) >= 0.98 * docs.count()
+
+
 def test_rows_of_one_id_and_null_columns(spark):
     r = random.Random(1)
     t = " ".join(r.choice("the of and in to was for".split()) for _ in range(60))
