@@ -41,7 +41,7 @@ climate_windows AS (
   GROUP BY k.departamento_nombre, k.anio)"""
 
 
-@register("crop_history", covers=("P3", "F1", "O1"), sql=with_ctes(
+@register("crop_history", covers=("P3", "F1"), sql=with_ctes(
     T.SQL_CROP_HISTORY, body="SELECT * FROM crop_history WHERE anio >= 1983"))
 def crop_history(spark, d):
     return T.crop_history(spark, d, min_year=1983)

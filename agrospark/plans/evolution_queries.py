@@ -226,7 +226,7 @@ def allocation_fields(spark, d):
              .drop("_c"))
 
 
-@register("allocation_population_revenue", covers=("G1", "G2", "J5", "J8", "P22", "A5", "A7"),
+@register("allocation_population_revenue", covers=("G1", "G2", "J5", "P22", "A5", "A7"),
           sql=with_ctes(
     T.SQL_POLYGONS, T.SQL_POINTS,
     __import__("agrospark.plans.soil_geo_queries", fromlist=["x"]).POINTS_IN_DEPARTMENTS_SQL,

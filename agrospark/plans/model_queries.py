@@ -29,7 +29,7 @@ def _training(spark, d):
     return cut_lineage(t), feats
 
 
-@register("yield_model_holdout", covers=("M1", "M2", "M11", "M12", "W5", "W10", "S14"), sql=None)
+@register("yield_model_holdout", covers=("M1", "M2", "M11", "M12", "W5", "S14"), sql=None)
 def yield_model_holdout(spark, d):
     t, feats = _training(spark, d)
     w = Window.orderBy("anio", "departamento_nombre", "cultivo_nombre")

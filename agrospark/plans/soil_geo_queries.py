@@ -33,7 +33,7 @@ located AS (
   FROM points p LEFT JOIN pip_first f ON p.point_id = f.point_id)"""
 
 
-@register("points_in_departments", covers=("J4", "W8", "S9"), bench=True, sql=with_ctes(
+@register("points_in_departments", covers=("J4", "W8"), bench=True, sql=with_ctes(
     T.SQL_POLYGONS, T.SQL_POINTS, POINTS_IN_DEPARTMENTS_SQL, body="SELECT * FROM located"))
 def points_in_departments(spark, d):
     pts = T.customer_points(spark, d)
