@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (backoff, jaccard_join, language_id, mixing, nearest, packing, personal_data, repetition,
-               sharding, warc)
+from . import (backoff, hard_negatives, jaccard_join, language_id, mixing, nearest, packing, personal_data, phrases,
+               repetition, sharding, url_filter, warc)
 from .common import documents, read_table
 
 QUERIES: dict = {}
@@ -87,3 +87,28 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op11_phrases"] = phrases.SQL
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.whole_vectors(read_table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
+ORACLE_SQL["op12_hard_negatives"] = hard_negatives.SQL
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"), url_filter.RULES)
+
+
+ORACLE_SQL["op13_url_filter"] = url_filter.SQL
