@@ -12,9 +12,10 @@ A task counts in a HAT-trie: a shallow trie of word ids whose leaves are hash
 containers of the remaining ids.  A container that grows beyond ``burst`` entries
 becomes a node with containers below the next word.  Beyond ``most`` entries the
 trie spills whole subtrees, largest first, each as a run sorted by phrase; the rest
-follows at the end of the task.  Runs are dealt by prefix (the first word, the pair,
-the first three words), sorted by Spark on disk and merged in order, so a partition
-is never held in memory and a hot word is at most one entry a run.
+follows at the end of the task.  Runs are dealt by the hash of a prefix (the word,
+the pair, the first three words) and travel compressed; one partition for 8 MB of
+text, so what a merge holds doesn't grow with the input, and a hot word or phrase is
+at most one entry a run.  A partition's runs are merged by a sort that keeps runs.
 
 The score of a cut after k words is floor(1000 * a * n / (l * r)) in decimals of 38
 digits (exact below 10^17 occurrences).  A phrase within a longer one that is as
@@ -43,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import buffers, hash_bounds, kept_in_table, mix, slices
 
 COUNTED = "lang string, phrase string, c long"
+RUNS = "part int, lang string, n int, raw long, run binary"
+MERGE_BYTES = 8 << 20           # of text for one merged partition
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _BETWEEN = _BREAK.copy()
@@ -131,40 +134,89 @@ class HatTrie:
         node = self.root.pop(at)
         self.entries -= self.size(node)
         lang, first = at
-        leaves = node.items() if type(node) is dict else [(b"", node)]
         texts, found = self.texts, []
-        for head, leaf in leaves:
+        for head, leaf in node.items() if type(node) is dict else [(b"", node)]:
+            by_length: dict = {}
             for rest, c in leaf.items():
-                ids = memoryview(head + rest).cast("I")
-                found.append((b" ".join([texts[first], *[texts[i] for i in ids]]), c))
+                by_length.setdefault(len(rest), []).append((rest, c))
+            for some in by_length.values():
+                n = (len(head) + len(some[0][0])) // 4
+                ids = np.frombuffer(b"".join([head + rest for rest, _ in some]), np.uint32).tolist()
+                words = [[texts[i] for i in ids[k::n]] for k in range(n)]
+                found += zip(map(b" ".join, zip([texts[first]] * len(some), *words)), [c for _, c in some])
         found.sort()
         return lang, [p for p, _ in found], [c for _, c in found]
 
-    def spill(self, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
+    def spill(self, deal, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
         """Runs of the largest subtrees until half of the room is free; of all at the end, in order."""
         if all_of_it:
             order = sorted(self.root, key=lambda at: (at[0], self.texts[at[1]]))
         else:
             order = sorted(self.root, key=lambda at: self.size(self.root[at]), reverse=True)
-        langs, phrases, counts = [], [], []
+        runs: dict = {}
         for at in order:
             if not all_of_it and self.entries <= self.most // 2:
                 break
             lang, p, c = self.run(at)
-            langs += [lang] * len(p)
+            phrases, counts = runs.setdefault(lang, ([], []))
             phrases += p
             counts += c
-            if len(p) and len(phrases) > 50_000:
-                yield counted(langs, phrases, counts)
-                langs, phrases, counts = [], [], []
-        if phrases:
-            yield counted(langs, phrases, counts)
+        for lang, (phrases, counts) in runs.items():
+            yield from deal(lang, phrases, counts)
 
 
-def counted(langs: list, phrases: list, counts: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-        names=["lang", "phrase", "c"])
+def dealer(prefix: int, parts: int):
+    """Function that deals a sorted run among ``parts`` by the hash of ``prefix`` words."""
+    def deal(lang: str, phrases: list[bytes], counts: list[int]) -> Iterator[pa.RecordBatch]:
+        if not phrases:
+            return
+        run = pa.array(phrases, pa.large_binary())
+        data, offs = buffers(run)
+        blanks = np.flatnonzero(data == 32)
+        nth = np.searchsorted(blanks, offs[:-1]) + prefix - 1          # the blank that ends the prefix
+        stop = np.append(blanks, len(data))[np.minimum(nth, len(blanks))]
+        h = mix(hash_bounds(data, offs[:-1], np.minimum(stop, offs[1:]), fold=False) ^ np.uint64(seed_of(lang)))
+        part = (h % np.uint64(parts)).astype(np.int64)
+        lengths, c = np.diff(offs).astype(np.uint32), np.array(counts, np.int64)
+        rows = []
+        for where in groups_of(part):
+            own, _ = buffers(run.take(pa.array(where)))
+            raw = lengths[where].tobytes() + c[where].tobytes() + own.tobytes()
+            rows.append((int(part[where[0]]), lang, len(where), len(raw), pa.compress(raw, "zstd", asbytes=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary()))],
+                                         names=["part", "lang", "n", "raw", "run"])
+    return deal
+
+
+def counted(langs: list, phrases: list, counts) -> pa.Table:
+    return pa.table([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+                    names=["lang", "phrase", "c"])
+
+
+def merge_runs(least: int):
+    """Merge of a partition's runs: phrases of ``least`` or more, and ``TOTAL``."""
+    def merge(table: pa.Table) -> pa.Table:
+        runs: dict = {}
+        for row in table.select(["lang", "n", "raw", "run"]).to_pylist():
+            raw, n = pa.decompress(row["run"], row["raw"], "zstd", asbytes=True), row["n"]
+            offs = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)])
+            one = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(raw[12 * n:])])
+            phrases, counts = runs.setdefault(row["lang"], ([], []))
+            phrases += one.to_pylist()
+            counts.append(np.frombuffer(raw, np.int64, n, 4 * n) if n % 2 == 0 else np.frombuffer(raw[4 * n:12 * n], np.int64))
+        langs, kept, sums = [], [], []
+        for lang, (phrases, counts) in runs.items():
+            order = sorted(range(len(phrases)), key=phrases.__getitem__)       # a merge sort that keeps runs
+            merged = [phrases[i] for i in order]
+            first = np.flatnonzero([True, *map(bytes.__ne__, merged[1:], merged)])
+            total = np.add.reduceat(np.concatenate(counts)[order], first)
+            for i in np.flatnonzero((total >= least) | (first == 0)).tolist():
+                if total[i] >= least or not merged[first[i]]:
+                    langs.append(lang)
+                    kept.append(merged[first[i]])
+                    sums.append(int(total[i]))
+        return counted(langs, kept, sums)
+    return merge
 
 
 def groups_of(codes: np.ndarray) -> Iterator[np.ndarray]:
@@ -173,8 +225,15 @@ def groups_of(codes: np.ndarray) -> Iterator[np.ndarray]:
     yield from np.split(order, np.flatnonzero(np.diff(codes[order])) + 1) if len(order) else ()
 
 
-def count_words(docs: DataFrame, most: int) -> DataFrame:
-    """Partial counts of words, and of all words as ``TOTAL``, one row a task and run."""
+def count_words(docs: DataFrame, parts: int, most: int) -> DataFrame:
+    """Runs of words, and of all words as ``TOTAL``."""
+    deal = dealer(1, parts)
+
+    def flush(counts):
+        for lang, own in counts.items():
+            found = sorted(own.items())
+            yield from deal(lang, [p for p, _ in found], [c for _, c in found])
+
     def task(batches):
         counts: dict = {}
         for batch in batches:
@@ -188,22 +247,16 @@ def count_words(docs: DataFrame, most: int) -> DataFrame:
                     for i, c in zip(where[first].tolist(), n.tolist()):
                         own[w.text(i)] += c
                 if sum(map(len, counts.values())) > most:
-                    yield from _runs(counts)
+                    yield from flush(counts)
                     counts = {}
-        yield from _runs(counts)
-    return docs.mapInArrow(task, COUNTED)
+        yield from flush(counts)
+    return docs.mapInArrow(task, RUNS)
 
 
-def _runs(counts: dict) -> Iterator[pa.RecordBatch]:
-    for lang, own in counts.items():
-        found = sorted(own.items())
-        for lo in range(0, len(found), 50_000):
-            some = found[lo:lo + 50_000]
-            yield counted([lang] * len(some), [p for p, _ in some], [c for _, c in some])
+def count_phrases(docs: DataFrame, lengths: range, word_bits, pair_bits, parts: int, burst: int, most: int) -> DataFrame:
+    """Runs of the phrases whose words (and pairs) may be frequent."""
+    deal = dealer(lengths[0], parts)
 
-
-def count_phrases(docs: DataFrame, lengths: range, word_bits, pair_bits, burst: int, most: int) -> DataFrame:
-    """Partial counts of the phrases whose words (and pairs) may be frequent."""
     def task(batches):
         words, pairs = word_bits.value, pair_bits.value if pair_bits else None
         known: dict = {}
@@ -240,13 +293,16 @@ def count_phrases(docs: DataFrame, lengths: range, word_bits, pair_bits, burst:
                     if n < lengths[0] or not len(begin):
                         continue
                     rests = np.ascontiguousarray(word[begin[:, None] + np.arange(1, n)]).view(f"V{4 * (n - 1)}").ravel()
-                    for where in groups_of(w.lang[begin].astype(np.int64) << 32 | word[begin]):
-                        i = begin[where[0]]
-                        trie.add(w.langs[w.lang[i]], int(word[i]), rests[where].tolist())
+                    at = w.lang[begin].astype(np.int64) << 32 | word[begin]
+                    order = np.argsort(at, kind="stable")
+                    rests, at = rests[order].tolist(), at[order]
+                    bounds = np.flatnonzero(np.diff(at, prepend=-1))
+                    for lo, hi, one in zip(bounds.tolist(), [*bounds[1:].tolist(), len(at)], at[bounds].tolist()):
+                        trie.add(w.langs[one >> 32], one & 0xFFFFFFFF, rests[lo:hi])
                 if trie.entries > most:
-                    yield from trie.spill()
-        yield from trie.spill(True)
-    return docs.mapInArrow(task, COUNTED)
+                    yield from trie.spill(deal)
+        yield from trie.spill(deal, True)
+    return docs.mapInArrow(task, RUNS)
 
 
 def has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -282,48 +338,24 @@ def bit_map(frequent: DataFrame, words: int, widest: int = 28):
     return spark.sparkContext.broadcast(out)
 
 
-def merged(parts: DataFrame, prefix: int, least: int) -> DataFrame:
-    """Merge the sorted runs per prefix partition; phrases of ``least`` or more (and ``TOTAL``)."""
-    def merge(batches):
-        last = None                          # (lang, phrase, count so far)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lang, phrase = batch.column("lang").dictionary_encode(), batch.column("phrase")
-            code = lang.indices.to_numpy()
-            data, offs = buffers(phrase)
-            h = hash_bounds(data, offs[:-1], offs[1:], fold=False)
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(code) != 0) | (h[1:] != h[:-1])]))
-            total = np.add.reduceat(batch.column("c").to_numpy(), first)
-            own = lambda j: (lang[int(first[j])].as_py(), phrase[int(first[j])].as_py())
-            if last is not None and last[:2] == own(0):
-                total[0] += last[2]
-            elif last is not None and (last[2] >= least or last[1] == TOTAL):
-                yield counted([last[0]], [last[1].encode()], [last[2]])
-            last = (*own(len(first) - 1), int(total[-1]))
-            keep = first[:-1][(total[:-1] >= least) | (offs[first[:-1] + 1] == offs[first[:-1]])]
-            if len(keep):
-                some = batch.take(pa.array(keep))
-                sums = total[:-1][np.isin(first[:-1], keep)]
-                yield pa.RecordBatch.from_arrays([some.column("lang"), some.column("phrase"), pa.array(sums, pa.int64())], names=["lang", "phrase", "c"])
-        if last is not None and (last[2] >= least or last[1] == TOTAL):
-            yield counted([last[0]], [last[1].encode()], [last[2]])
-
-    dealt = parts.repartition("lang", F.substring_index("phrase", " ", prefix)).sortWithinPartitions("lang", "phrase")
-    return kept_in_table(dealt.mapInArrow(merge, COUNTED), "phrases")
+def merged(runs: DataFrame, least: int) -> DataFrame:
+    """The runs merged by partition: (lang, phrase, c)."""
+    return kept_in_table(runs.groupBy("part").applyInArrow(merge_runs(least), COUNTED), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, burst: int = 4096, most: int = 400_000) -> DataFrame:
     """documents(text, lang) -> (lang, phrase, c): every phrase of 1 to ``longest`` words
     found ``least`` times or more, and the number of all words of a language as ``''``."""
     docs = docs.select("text", "lang")
-    words = merged(count_words(docs, most), 1, least)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = -(-size // MERGE_BYTES) + 1
+    words = merged(count_words(docs, parts, most), least)
     word_bits = bit_map(words.where(F.col("phrase") != TOTAL), 1)
-    pairs = merged(count_phrases(docs, range(2, 3), word_bits, None, burst, most), 2, least)
+    pairs = merged(count_phrases(docs, range(2, 3), word_bits, None, parts, burst, most), least)
     out = words.unionByName(pairs)
     if longest > 2:
-        longer = count_phrases(docs, range(3, longest + 1), word_bits, bit_map(pairs, 2), burst, most)
-        out = out.unionByName(merged(longer, 3, least))
+        longer = count_phrases(docs, range(3, longest + 1), word_bits, bit_map(pairs, 2), parts, burst, most)
+        out = out.unionByName(merged(longer, least))
     return out
 
 
@@ -350,9 +382,14 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, top: int =
                    "div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))")
     scored = cuts.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("_"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    return (scored.select("lang", "phrase", "a", "_.l", "_.r", "n", "_.score").withColumn("rank", rank.cast("long"))
-            .where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    # first among a part of a language's phrases, then among the firsts
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64)).cast("int")
+    scored = scored.select("lang", "phrase", "a", "_.l", "_.r", "n", "_.score", part.alias("part"))
+    scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))).where(F.col("rank") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*best))
+    return (scored.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
+            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
 SQL = """

@@ -89,9 +89,29 @@ def test_trie_bursts_and_spills_sorted_subtrees():
     assert type(trie.root["en", 0]) is dict and trie.entries == 3
     trie.add("en", 0, [ids(1, 2), ids(1, 0, 0)])
     trie.add("en", 2, [ids(0)])
-    got = [r for b in trie.spill() for r in b.to_pylist()]
-    assert [(r["phrase"], r["c"]) for r in got] == [("a b a a", 1), ("a b c", 3), ("a c b", 1), ("a d d", 1)]
-    assert trie.entries == 1 and [r["phrase"] for b in trie.spill(True) for r in b.to_pylist()] == ["c a"] and not trie.entries
+    def deal(lang, found, counts):
+        yield list(zip(found, counts))
+    assert list(trie.spill(deal)) == [[(b"a b a a", 1), (b"a b c", 3), (b"a c b", 1), (b"a d d", 1)]]
+    assert trie.entries == 1 and list(trie.spill(deal, True)) == [[(b"c a", 1)]] and not trie.entries
+
+
+def test_runs_are_dealt_by_prefix_and_merged():
+    import pyarrow as pa
+    first = [b"", b"a b c", b"a b c d", b"x", "\u00e9 b c".encode()]
+    runs = [*phrases.dealer(3, 7)("en", first, [9, 3, 1, 2, 4]), *phrases.dealer(3, 7)("en", [b"a b c", b"x"], [10 ** 12, 2]),
+            *phrases.dealer(3, 7)("fr", [b"a b c"], [5])]
+    table = pa.Table.from_batches(runs)
+    where = {r["part"] for r in phrases_of(table, b"a b c")} & {r["part"] for r in phrases_of(table, b"a b c d")}
+    assert where
+    got = [r for p in set(table.column("part").to_pylist())
+           for r in phrases.merge_runs(4)(table.filter(pa.compute.equal(table.column("part"), p))).to_pylist()]
+    assert sorted((r["lang"], r["phrase"], r["c"]) for r in got) == [
+        ("en", "", 9), ("en", "a b c", 10 ** 12 + 3), ("en", "x", 4), ("en", "\u00e9 b c", 4), ("fr", "a b c", 5)]
+
+
+def phrases_of(table, phrase):
+    import pyarrow as pa
+    return [r for r in table.to_pylist() if phrase in pa.decompress(r["run"], r["raw"], "zstd", asbytes=True)]
 
 
 def test_score_is_exact_beyond_64_bits(spark):
