@@ -64,6 +64,24 @@ def crops_for_fields(fields: DataFrame, crops: list[str], crop_col: str = "culti
     return fields.select("*", F.posexplode(arr).alias(pos_col, crop_col))
 
 
+def planner_rows(fields: DataFrame, crops: DataFrame, soil: DataFrame, forecast: DataFrame, year: int, first: int = 4,
+                 site: str = "departamento_nombre", area: str = "area_ha") -> DataFrame:
+    """J8 + P18: one feature row a field and crop for the yield model.
+
+    ``crops`` (cultivo_nombre, cultivo_code, crop_pos) is one row a kind of crop; it
+    travels as a single row holding their array, so fields are expanded without a shuffle.
+    Soil means and the forecast come by department; a field in a department without
+    either keeps its rows with nulls, and so has no prediction.  The ``first`` crops are
+    planted in ``year``, the others the year after; the area planted is the whole field.
+    """
+    one = crops.agg(F.array_sort(F.collect_list(F.struct("crop_pos", "cultivo_nombre", "cultivo_code"))).alias("_crops"))
+    rows = fields.join(F.broadcast(one)).withColumn("_crop", F.explode("_crops")).select(
+        *fields.columns, "_crop.crop_pos", "_crop.cultivo_nombre", "_crop.cultivo_code")
+    rows = rows.withColumn("anio", F.when(F.col("crop_pos") < first, F.lit(year)).otherwise(F.lit(year + 1))).withColumn(
+        "superficie_sembrada_ha", F.col(area).cast("double"))
+    return rows.join(soil, site, "left").join(forecast, site, "left")
+
+
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
     """M1: VectorAssembler over a fixed feature list."""
     from pyspark.ml.feature import VectorAssembler

@@ -1,8 +1,9 @@
-"""Model training, validation, forecasting and scoring with MLlib.
+"""Sizes of the reference's models, feature series of the lag regressors, linear
+autoregression (M6-M9).  The boosted models are in :mod:`.boosting`, the recurrent
+ones in :mod:`.recurrent`.
 
-Models are pooled over all sites (site code as a feature) instead of one
-model per site written to a shared path (D9); every fit is a distributed
-MLlib job.  Reference workload sizes are the defaults.
+Models are pooled over all sites (an exact site code as a feature) instead of one
+model per site written to a shared path (D9).
 """
 
 from __future__ import annotations
@@ -10,12 +11,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .positions import dense_codes
 
 # Reference hyper-parameters.
 YIELD_GBT = dict(maxIter=1000, stepSize=0.05, maxDepth=3, subsamplingRate=1.0, seed=1)
@@ -24,59 +25,7 @@ WIND_GBT = dict(maxIter=1000, stepSize=0.05, maxDepth=3, subsamplingRate=1.0, se
 YIELD_GRID = dict(maxIter=[500, 1000], stepSize=[0.001, 0.05], maxDepth=[1, 3],
                   subsamplingRate=[0.5, 1.0])
 FOLDS = 5
-
-
-def gbt_pipeline(features: list[str], label: str, **params) -> Pipeline:
-    """M1 + M2: vector assembly + gradient-boosted trees."""
-    p = {**YIELD_GBT, **params}
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"),
-        GBTRegressor(featuresCol="features", labelCol=label, **p)])
-
-
-def kfold_score(df: DataFrame, pipeline: Pipeline, label: str, folds: int = FOLDS, seed: int = 1,
-                grid=None, parallelism: int = 1):
-    """K-fold CV (shuffled, seeded), MSE; returns the fitted
-    CrossValidatorModel and the mean negative MSE of each grid point."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse")
-    grid = grid or ParamGridBuilder().build()
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(df)
-    return model, [-m for m in model.avgMetrics]
-
-
-def grid_search(df: DataFrame, features: list[str], label: str, grid_values: dict | None = None,
-                folds: int = FOLDS, seed: int = 1, parallelism: int = 4):
-    """M5: grid over GBT parameters, k-fold CV, best model refit on all rows."""
-    pipe = gbt_pipeline(features, label)
-    gbt = pipe.getStages()[-1]
-    values = grid_values or YIELD_GRID
-    b = ParamGridBuilder()
-    for name, vals in values.items():
-        b = b.addGrid(gbt.getParam(name), vals)
-    return kfold_score(df, pipe, label, folds, seed, b.build(), parallelism)
-
-
-def depth_sweep(df: DataFrame, features: list[str], label: str, max_depth: int = 9,
-                folds: int = FOLDS, seed: int = 1) -> list[tuple[int, float]]:
-    """M3: decision tree of depth 1..max_depth, k-fold score each; stops when
-    the fitted tree no longer reaches the requested depth."""
-    out = []
-    for depth in range(1, max_depth + 1):
-        pipe = Pipeline(stages=[
-            VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"),
-            DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=depth, seed=seed)])
-        model, scores = kfold_score(df, pipe, label, folds, seed)
-        out.append((depth, scores[0]))
-        if model.bestModel.stages[-1].depth < depth:
-            break
-    return out
-
-
-def holdout(model: PipelineModel, test: DataFrame, label: str, keys: list[str]) -> DataFrame:
-    """M11 + M12 + W10: actual vs predicted on the test rows."""
-    return model.transform(test).select(*keys, F.col(label).alias("actual"), "prediction")
+LSTM = dict(units=64, dense=8)
 
 
 def rmse(pred: DataFrame, label: str = "actual") -> float:
@@ -85,36 +34,31 @@ def rmse(pred: DataFrame, label: str = "actual") -> float:
 
 
 def series_features(monthly: DataFrame, site: str, date: str, col: str) -> DataFrame:
-    """M6/M7 features: year, month, previous month's value (W1), site code."""
+    """M6/M7 features: year, month, previous month's value (W1), site code.  The first
+    month of a site has no previous value and stays, with a null."""
     from ..operators.climate import lag_feature
-    x = lag_feature(monthly.select(site, date, col), site, date, col, "lag1")
-    return x.withColumn("anio", F.year(date)).withColumn("mes", F.month(date)).withColumn(
-        "site_code", F.xxhash64(site) % 100000)
+    x = lag_feature(monthly.select(site, date, col), site, date, col, "lag1", drop_null=False)
+    codes = dense_codes(monthly, site, "site_code")
+    return x.withColumn("anio", F.year(date)).withColumn("mes", F.month(date)).join(codes, site)
 
 
 def recursive_forecast(model: PipelineModel, last: DataFrame, site: str, steps: int = 14,
-                       window: str | None = None, lag: str | None = None, date: str = "fecha",
-                       value: str = "value", checkpoint_every: int = 7) -> DataFrame:
-    """M9: predict ``steps`` months ahead for all sites at once, each
-    prediction becoming the newest input (window shift for AR models, lag
-    for the lag-1 regressors); starts at the month after the last observed
-    one (D10).  A bounded driver loop of ``steps`` transforms; lineage cut
-    with reliable checkpoints."""
+                       window: str = "input", date: str = "fecha", value: str = "value",
+                       checkpoint_every: int = 7) -> DataFrame:
+    """M9: predict ``steps`` months ahead for all sites at once, each prediction becoming
+    the newest input of the window; starts at the month after the last observed one
+    (D10).  A bounded driver loop of ``steps`` transforms; lineage cut with reliable
+    checkpoints."""
     cur = last
     out = None
     for step in range(1, steps + 1):
-        cur = cur.withColumn(date, F.add_months(date, 1)).withColumn(
-            "anio", F.year(date)).withColumn("mes", F.month(date))
+        cur = cur.withColumn(date, F.add_months(date, 1))
         pred = model.transform(cur).withColumn("step", F.lit(step))
         keep = pred.select(site, "step", date, F.col("prediction").alias(value))
         out = keep if out is None else out.unionByName(keep)
-        nxt = pred.drop("features", "raw_features")
-        if window:
-            nxt = nxt.withColumn(window, F.concat(F.slice(window, 2, F.size(window) - 1),
-                                                  F.array(F.col("prediction"))))
-            nxt = nxt.withColumns({f"{window}_{i + 1}": F.col(window)[i] for i in range(14)})
-        if lag:
-            nxt = nxt.withColumn(lag, F.col("prediction"))
+        nxt = pred.drop("features")
+        nxt = nxt.withColumn(window, F.concat(F.slice(window, 2, F.size(window) - 1), F.array(F.col("prediction"))))
+        nxt = nxt.withColumns({f"{window}_{i + 1}": F.col(window)[i] for i in range(14)})
         cur = nxt.drop("prediction")
         if checkpoint_every and step % checkpoint_every == 0:
             cur = cut_lineage(cur)
@@ -123,8 +67,8 @@ def recursive_forecast(model: PipelineModel, last: DataFrame, site: str, steps:
 
 
 def autoregressive_pipeline(n: int = 14, label: str = "target") -> Pipeline:
-    """M8 (re-aimed): linear regression on the previous ``n`` values."""
+    """Linear regression on the previous ``n`` values; fit it on complete rows."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=[f"input_{i + 1}" for i in range(n)], outputCol="features",
-                        handleInvalid="skip"),
+                        handleInvalid="keep"),
         LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)])

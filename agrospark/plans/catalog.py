@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (climate_queries, evolution_queries, io_queries, search_queries,  # noqa: F401
-               model_queries, soil_geo_queries, stream_queries, text_price_queries)
+               model_queries, planner_queries, soil_geo_queries, stream_queries, text_price_queries)
 from .registry import REGISTRY
 
 
@@ -18,4 +18,4 @@ def oracle_sql():
 def bench_queries():
     return {name: q.build for name, q in REGISTRY.items() if q.bench}
 
-FLAGSHIP = "yield_training_table"
+FLAGSHIP = "previous_months_climate"

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 from ..operators import evolution as EV
 from ..operators import features as FE
+from ..operators import generations as GN
 from ..operators import geo as G
 from ..operators import tours as TR
 from ..session import read_table
 from ..sources.sinks import history_table
 from . import tables as T
 from .registry import register
+from .search_queries import SQL_NODES, tour_nodes
+from .soil_geo_queries import POINTS_IN_DEPARTMENTS_SQL
 from .tables import R, with_ctes
+from .text_price_queries import SQL_BOARD, board_prices
 
 N_IND, N_BITS, N_SEL, K_TOUR = 10, 30, 8, 4
 P_CROSS, P_MUT = 0.75, 0.05
@@ -141,28 +145,27 @@ def bitstring_elites(spark, d):
                     .alias("elites"))
 
 
+BIT_SEARCH = GN.Search(GN.bits_objective, N_IND - 2, GN.one_point, GN.inversion, k=K_TOUR, p_cross=P_CROSS, p_mut=P_MUT, genes="uint8")
+
+
 @register("bitstring_evolution_history", covers=("G13", "U2", "W7", "S15"), sql=None)
 def bitstring_evolution_history(spark, d, generations: int = GENERATIONS):
     inst = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("instance_id"))
-    pop = EV.init_bits(inst, N_IND, N_BITS)
-    _, hist = EV.evolve(pop, EV.bits_objective, generations, N_IND - 2,
-                        lambda x: EV.crossover_one_point(x, P_CROSS),
-                        lambda x: EV.mutate_inversion(x, P_MUT),
-                        selection="tournament", k=K_TOUR, elitism=2)
-    hist = hist.withColumn("best_value", F.expr("aggregate(best_genes, 0L, (a, b) -> a * 2 + b)"))
+    _, hist = GN.evolve(EV.init_bits(inst, N_IND, N_BITS), BIT_SEARCH, generations)
+    hist = hist.withColumn("best_genes", F.col("best_genes").cast("array<int>")).withColumn(
+        "best_value", F.expr("aggregate(best_genes, 0L, (a, b) -> a * 2 + b)"))
     table = history_table(hist, "bits")
-    return table.join(EV.first_decrease(hist), "instance_id", "left")
+    return table.join(EV.first_decrease(hist.select("instance_id", "gen", "max_obj")), "instance_id", "left")
 
 
 # ---- tours -------------------------------------------------------------------
 def _tour_pop(spark, d, n_ind: int = N_IND):
-    from .search_queries import tour_nodes
     inst = TR.instance_points(tour_nodes(spark, d))
     return EV.init_permutations(inst, n_ind, "n")
 
 
 @register("tour_population_lengths", covers=("G1", "G3", "J9", "A13"), sql=with_ctes(
-    __import__("agrospark.plans.search_queries", fromlist=["x"]).SQL_NODES.split(",\nt_dist")[0],
+    SQL_NODES.split(",\nt_dist")[0],
     f"""
 p_ind AS (SELECT n.instance_id, n.n, t.i FROM t_n n, range({N_IND}) t(i)),
 p_genes AS (
@@ -183,7 +186,6 @@ SELECT instance_id, CAST(i AS INTEGER) AS idx,
        string_agg(CAST(g AS VARCHAR), ',' ORDER BY pos) AS tour, {R('sum(d)', 4)} AS length
 FROM p_legs GROUP BY 1, 2"""))
 def tour_population_lengths(spark, d):
-    from .search_queries import tour_nodes
     nodes = tour_nodes(spark, d)
     pop = _tour_pop(spark, d).select("instance_id", F.posexplode("pop").alias("idx", "genes"))
     t = TR.tour_length(pop, nodes, "genes")
@@ -192,24 +194,29 @@ def tour_population_lengths(spark, d):
                     F.bround("length", 4).alias("length"))
 
 
+TOUR_SEARCH = GN.Search(GN.tour_objective, TOUR_IND - 2, GN.cycle, GN.swap, k=TOUR_K, replace=False, avg_scale=None,
+                        p_cross=P_CROSS, p_mut=P_MUT, params=("pts",), genes="int16")
+
+
 @register("tour_evolution_history", covers=("G8", "G10", "G13", "G5", "S15"), sql=None)
 def tour_evolution_history(spark, d, generations: int = GENERATIONS):
-    pop = _tour_pop(spark, d, TOUR_IND)
-    _, hist = EV.evolve(pop, EV.tour_objective, generations, TOUR_IND - 2,
-                        lambda x: EV.crossover_cycle(x, P_CROSS),
-                        lambda x: EV.mutate_swap(x, P_MUT),
-                        selection="tournament", k=TOUR_K, elitism=2, replace=False, avg_scale=None)
-    return history_table(hist, "tour")
+    pop = _tour_pop(spark, d, TOUR_IND).withColumn("pts", F.flatten(F.transform("pts", lambda p: F.array(p["x"], p["y"]))))
+    _, hist = GN.evolve(pop, TOUR_SEARCH, generations)
+    return history_table(hist.withColumn("best_genes", F.col("best_genes").cast("array<int>")), "tour")
 
 
 # ---- crop allocations per customer field -------------------------------------
+def located_fields(spark, d):
+    """One field a customer point: point_id, departamento_nombre, area_ha."""
+    pts = T.customer_points(spark, d)
+    return G.locate_points(pts, T.department_polygons(spark, d)).withColumn(
+        "area_ha", (F.lit(10) + F.col("point_id") % 91).cast("double"))
+
+
 def allocation_fields(spark, d):
     """Customer fields located in departments (J4), with per-crop tons for
     the whole field (department yield per ha x area, P22) and prices (J5)."""
-    from .text_price_queries import board_prices
-    pts = T.customer_points(spark, d)
-    fields = G.locate_points(pts, T.department_polygons(spark, d)).withColumn(
-        "area_ha", (F.lit(10) + F.col("point_id") % 91).cast("double"))
+    fields = located_fields(spark, d)
     ch = T.crop_history(spark, d)
     yph = ch.groupBy("departamento_nombre", "cultivo_nombre").agg(
         (F.sum("produccion_tn") / F.sum("superficie_sembrada_ha")).alias("tph"))
@@ -229,8 +236,8 @@ def allocation_fields(spark, d):
 @register("allocation_population_revenue", covers=("G1", "G2", "J5", "P22", "A5", "A7"),
           sql=with_ctes(
     T.SQL_POLYGONS, T.SQL_POINTS,
-    __import__("agrospark.plans.soil_geo_queries", fromlist=["x"]).POINTS_IN_DEPARTMENTS_SQL,
-    T.SQL_CROP_HISTORY, __import__("agrospark.plans.text_price_queries", fromlist=["x"]).SQL_BOARD,
+    POINTS_IN_DEPARTMENTS_SQL,
+    T.SQL_CROP_HISTORY, SQL_BOARD,
     f"""
 a_tph AS (SELECT departamento_nombre, cultivo_nombre,
                  sum(produccion_tn) / sum(superficie_sembrada_ha) AS tph
@@ -267,15 +274,21 @@ def allocation_population_revenue(spark, d):
          .alias("best_allocation"))
 
 
+PLOT_SEARCH = GN.Search(GN.revenue_objective, N_IND - 2, GN.one_point, GN.swap, selection="roulette", p_cross=P_CROSS, p_mut=0.001,
+                        correction=GN.small_plots, params=("area_ha", "tons_full", "prices"))
+
+
 @register("allocation_evolution_totals", covers=("G7", "G12", "G10", "G13", "A7"), sql=None)
 def allocation_evolution_totals(spark, d, generations: int = GENERATIONS):
-    f = allocation_fields(spark, d)
-    pop = EV.init_allocations(f, N_IND, len(CROPS))
-    final, hist = EV.evolve(pop, EV.revenue_objective, generations, N_IND - 2,
-                            lambda x: EV.crossover_one_point(x, P_CROSS, normalise_to="area_ha"),
-                            lambda x: EV.mutate_swap(x, 0.001),
-                            selection="roulette", elitism=2, correction=EV.small_plot_correction)
-    last = EV.gene_totals(EV.stats(EV.fitness(EV.revenue_objective(final))))
+    return allocation_totals(allocation_fields(spark, d), generations, len(CROPS))
+
+
+def allocation_totals(fields, generations: int, n_crops: int):
+    """Search the allocations of every field, then the totals of the last population."""
+    pop = EV.init_allocations(fields, N_IND, n_crops).withColumn("area_ha", F.array("area_ha"))
+    final, hist = GN.evolve(pop, PLOT_SEARCH, generations)
+    best = hist.where(F.col("gen") == generations).select("instance_id", "max_obj", "best_genes")
+    last = EV.gene_totals(final.join(best, "instance_id"))
     return last.select("instance_id", "gen", F.bround("max_obj", 2).alias("max_revenue"),
                        F.bround("grand_total", 4).alias("grand_total"),
                        F.bround("best_total", 4).alias("best_total"),
@@ -285,8 +298,8 @@ def allocation_evolution_totals(spark, d, generations: int = GENERATIONS):
 
 @register("allocation_positive_shares", covers=("F7",), sql=with_ctes(
     T.SQL_POLYGONS, T.SQL_POINTS,
-    __import__("agrospark.plans.soil_geo_queries", fromlist=["x"]).POINTS_IN_DEPARTMENTS_SQL,
-    T.SQL_CROP_HISTORY, __import__("agrospark.plans.text_price_queries", fromlist=["x"]).SQL_BOARD,
+    POINTS_IN_DEPARTMENTS_SQL,
+    T.SQL_CROP_HISTORY, SQL_BOARD,
     f"""
 a_tph AS (SELECT departamento_nombre, cultivo_nombre,
                  sum(produccion_tn) / sum(superficie_sembrada_ha) AS tph

@@ -4,8 +4,9 @@ import inspect
 
 import pytest
 
-from agrospark.operators import evolution as EV
-from agrospark.operators import models as M
+from agrospark.operators import boosting as B
+from agrospark.operators import generations as GN
+from agrospark.operators import recurrent as RN
 from agrospark.plans import evolution_queries as EQ
 from agrospark.plans import model_queries as Q
 
@@ -30,36 +31,32 @@ def caught(monkeypatch, owner, name, call):
 
 
 def training(spark, n):
-    rows = [("c", 2000 + i, "d", float(i), float(i)) for i in range(n)]
-    return spark.createDataFrame(rows, "cultivo_nombre string, anio int, departamento_nombre string, ph double, produccion_tn double"), ["anio", "ph"]
+    rows = [(2000 + i, "d", "c", float(i), i + 1, i + 1 <= int(0.8 * n)) for i in range(n)]
+    return spark.createDataFrame(rows, "anio int, departamento_nombre string, cultivo_nombre string, produccion_tn double, position long, is_train boolean")
 
 
 def test_models_run_at_reference_sizes(spark, monkeypatch):
     monkeypatch.setattr(Q, "_training", lambda s, d: training(s, 12))
-    assert caught(monkeypatch, M, "gbt_pipeline", lambda: Q.yield_model_holdout(spark, ""))["params"] == {}
-    assert M.YIELD_GBT["maxIter"] == 1000 and M.RAIN_GBT["maxIter"] == 700 and M.WIND_GBT["maxIter"] == 1000
-    sweep = caught(monkeypatch, M, "depth_sweep", lambda: Q.yield_model_selection(spark, ""))
-    assert (sweep["max_depth"], sweep["folds"]) == (9, 5)
-    with monkeypatch.context() as m:
-        m.setattr(M, "depth_sweep", lambda *a, **k: [])
-        grid = caught(monkeypatch, M, "grid_search", lambda: Q.yield_model_selection(spark, ""))
-    assert grid["grid_values"] is None and grid["folds"] == 5
-    series = spark.createDataFrame([("a", f"2020-0{i}-01", 1.0 * i) for i in range(1, 9)], "departamento_nombre string, fecha string, v double")
+    fit = caught(monkeypatch, B, "fit_trees", lambda: Q.yield_model_holdout(spark, ""))
+    assert (fit["maxIter"], fit["stepSize"], fit["maxDepth"], fit["subsamplingRate"]) == (1000, 0.05, 3, 1.0)
+    assert fit["df"].count() == 9          # the first 80 %
+    search = caught(monkeypatch, B, "search", lambda: Q.yield_model_selection(spark, ""))
+    assert (search["max_depth"], search["folds"], search["df"].count()) == (9, 5, 9)
+    assert search["grid"] == dict(maxIter=[500, 1000], stepSize=[0.001, 0.05], maxDepth=[1, 3], subsamplingRate=[0.5, 1.0])
+    series = spark.createDataFrame([("a", f"2020-0{i}-01", 1.0 * i, 1, 1, 1.0, 0) for i in range(1, 9)],
+                                   "departamento_nombre string, fecha string, v double, anio int, mes int, lag1 double, site_code int")
     monkeypatch.setattr(Q, "_series", lambda s, d, col: series.withColumnRenamed("v", col))
-    for q, want in ((Q.rain_forecast_14, M.RAIN_GBT), (Q.wind_forecast_14, M.WIND_GBT)):
-        assert caught(monkeypatch, M, "gbt_pipeline", lambda: q(spark, ""))["params"] == want
-
-
-def test_tables_too_small_to_fit_keep_their_rows(spark, monkeypatch):
-    monkeypatch.setattr(Q, "_training", lambda s, d: training(s, 1))
-    assert [(r["anio"], r["actual"], r["prediction"]) for r in Q.yield_model_holdout(spark, "").collect()] == [(2000, 0.0, None)]
-    got = Q.yield_model_selection(spark, "").collect()
-    assert len(got) == 9 + 16 and all(r["neg_mse"] is None for r in got)
+    for q, trees, share in ((Q.rain_forecast_14, 700, 0.8), (Q.wind_forecast_14, 1000, 1.0)):
+        fit = caught(monkeypatch, B, "fit_trees", lambda: q(spark, ""))
+        assert (fit["maxIter"], fit["stepSize"], fit["maxDepth"], fit["subsamplingRate"]) == (trees, 0.05, 3, share)
+    monkeypatch.setattr(Q, "_windows", lambda s, d, col: s.createDataFrame([("a", "2020-01-01", [1.0] * 14, 1.0)], "departamento_nombre string, fecha string, input array<double>, target double"))
+    net = caught(monkeypatch, RN, "train", lambda: Q.temperature_lstm_forecast(spark, ""))
+    assert (net["units"], net["dense"], net["steps"]) == (64, 8, 200)
 
 
 def test_searches_run_at_reference_sizes(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     for q, individuals, k in ((EQ.bitstring_evolution_history, 10, 4), (EQ.tour_evolution_history, 50, 20), (EQ.allocation_evolution_totals, 10, None)):
-        got = caught(monkeypatch, EV, "evolve", lambda: q(spark, sf))
-        assert got["generations"] == 200 and got["n_select"] == individuals - 2 and k in (None, got["k"])
+        got = caught(monkeypatch, GN, "evolve", lambda: q(spark, sf))
+        assert got["generations"] == 200 and got["search"].n_select == individuals - 2 and k in (None, got["search"].k)
         assert len(got["df"].first()["pop"]) == individuals
