@@ -62,11 +62,13 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
     archive = F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int")
     # decisions travel as rows of their own, so that the pages are shuffled once, to
     # their archive, where a window hands them over
-    left = rows.withColumn("archive", archive).withColumn("k", id_).withColumn("page", F.lit(1))
-    right = told.select(F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int").alias("archive"), id_.alias("k"),
+    # a null id is told from every number by a flag of its own
+    no_id = F.col("page_id").isNull().alias("no_id")
+    left = rows.withColumn("archive", archive).withColumn("k", id_).withColumn("no_id", no_id).withColumn("page", F.lit(1))
+    right = told.select(F.pmod(F.xxhash64(id_), F.lit(archives)).cast("int").alias("archive"), id_.alias("k"), no_id,
                         "digest", "again", "first", F.lit(0).alias("page"))
     both = left.unionByName(right, allowMissingColumns=True).repartition(archives, "archive")
-    same = Window.partitionBy("archive", "k", "digest")
+    same = Window.partitionBy("archive", "k", "no_id", "digest")
     # equal digests are equal payloads, so the order needs no html
     nth = F.row_number().over(same.orderBy(F.desc("page"), "url"))
     both = (both.withColumn("again", F.max("again").over(same) | ((nth > 1) & (F.col("payload_bytes") >= least)))
@@ -86,8 +88,8 @@ def records(pages: DataFrame, archives: int, least: int) -> DataFrame:
         F.lit("\r\n"))
     text = F.concat(header, F.when(F.col("again"), F.lit("")).otherwise(F.col("html")), F.lit(END))
     both = both.withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("again"), F.col("first")))
-    return both.select("archive", "k", "again", *[c for c in INDEX if c not in ("archive", "offset", "length")], text.alias("text")).mapInArrow(
-        _compressed, "archive int, k long, again boolean, url string, digest string, page_id long, record_type string, "
+    return both.select("archive", "k", "no_id", "again", *[c for c in INDEX if c not in ("archive", "offset", "length")], text.alias("text")).mapInArrow(
+        _compressed, "archive int, k long, no_id boolean, again boolean, url string, digest string, page_id long, record_type string, "
                      "refers_to long, record binary, length long")
 
 
@@ -113,7 +115,7 @@ def write_archives(pages: DataFrame, folder: str, target: int = 32 << 20, least:
     archives = max(16, -(-size // target))
     rows = records(pages, archives, least)
     # the order within an archive, the same for the index and the file
-    order = ["k", "digest", "again", "url"]
+    order = ["k", "no_id", "digest", "again", "url"]
     at = Window.partitionBy("archive").orderBy(*order)
     offset = F.sum("length").over(at.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")
     placed = rows.withColumn("offset", offset)
