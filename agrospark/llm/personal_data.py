@@ -34,10 +34,11 @@ from .common import slices
 from .tagger import KINDS, LENGTH, PAD, Tagger, classes
 
 STRIDE = LENGTH // 2
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# an address is the run of user characters before an @ and the host behind it
+HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # the other spellings: a user, a mark that stands for the @, a host with a dot
 SPELT = re.compile(r"[A-Za-z0-9._%+-]+(?:\x20@\x20?|@\x20|\x20[Aa][Tt]\x20|\x20?\([Aa][Tt]\)\x20?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+USER_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # a run of digits matches from its first digit or not at all, hence the look-behind
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -67,18 +68,21 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     if not text:
         return out
     at, done = text.find("@"), 0
-    while at >= 0:                       # a match lies inside one run of address characters
-        lo, hi = at, at + 1
-        while lo > done and text[lo - 1] in EMAIL_CHARS:
-            lo -= 1
-        while hi < len(text) and text[hi] in EMAIL_CHARS:
-            hi += 1
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)]
-        done, at = hi, text.find("@", hi)
+    while at >= 0:
+        # the host first: without one no start before this @ can match
+        host = HOST.match(text, at + 1)
+        if host:
+            lo = at
+            while lo > done and text[lo - 1] in USER_CHARS:
+                lo -= 1
+            if lo < at:
+                out.append((0, lo, host.end()))
+                done = host.end()
+        at = text.find("@", max(at + 1, done))
     if not DIGIT.search(text):
         return out
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             out.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):
         d = NOT_DIGITS.sub("", m[0])
