@@ -6,10 +6,11 @@ whole table) at the distributed weighted median - for an odd number of shards at
 the weighted quantile of the smaller half - until every leaf is one shard of the
 target bytes.  A quantile is found in rounds of histograms: bytes by bin along
 the dimension, then inside the bin that holds the quantile by a hash of the text,
-then by a hash of the id.  Equal texts have equal coordinates (the smallest
+then by a hash of the id, then by the row.  Equal texts have equal coordinates (the smallest
 source and language among them), so a cut falls between two texts and a group of
-copies stays in one shard, unless the group that covers the quantile is larger
-than a hundredth of a shard: only then is it cut, by the ids.  A hot value is one
+copies stays in one shard, on the nearer side of the cut, unless the group that
+covers the quantile is larger than half a shard: only then is it cut, by the ids (and
+rows that repeat an id wholly, by their number).  A hot value is one
 that a later round splits, not one that a task has to hold.
 
 The driver reads one row a node and round: at most the number of shards.
@@ -46,7 +47,9 @@ def points(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         _code("source").alias("x_source"), _code("lang").alias("x_lang"), F.log2(size.cast("double")).alias("x_size"),
-        bins(text, F.lit("text")).alias("b_text"), bins(F.col("doc_id").cast("long"), text, F.lit("id")).alias("b_id"))
+        bins(text, F.lit("text")).alias("b_text"), bins(F.col("doc_id").cast("long"), text, F.lit("id")).alias("b_id"),
+        # tells rows that repeat wholly apart; the points are written once, so it stays
+        bins(F.monotonically_increasing_id(), F.lit("row")).alias("b_row"))
 
 
 def _choose(node: F.Column, values: dict[int, object], default) -> F.Column:
@@ -68,7 +71,7 @@ def _cut(rows: DataFrame, bin_: F.Column, want: dict[int, float]) -> dict[int, t
     return {r[0]: (r[1][0], float(r[1][1]), r[1][2]) for r in cut.collect()}
 
 
-def leaves(rows: DataFrame, shards: int, share: float = 0.01) -> DataFrame:
+def leaves(rows: DataFrame, shards: int, share: float = 0.5) -> DataFrame:
     """``rows`` with ``shard`` 0 .. shards - 1, of near equal bytes.
 
     Texts are not cut apart for less than ``share`` of a shard's bytes."""
@@ -99,18 +102,17 @@ def leaves(rows: DataFrame, shards: int, share: float = 0.01) -> DataFrame:
         live = live.withColumn("b_main", place)
         slack = slack or share * sum(r["bytes"] for r in box.values()) / shards
         cuts, inside, whole = [], live, {}
-        for b in ("b_main", "b_text", "b_id"):
+        for b in ("b_main", "b_text", "b_id", "b_row"):
             got = _cut(inside, F.col(b), want) if len(whole) < len(box) else {}
             cuts.append({k: whole.get(k, got.get(k, (BINS,))[0]) for k in box})
             want = {k: want[k] - got.get(k, (0, 0.0, 0))[1] for k in box}
             if b == "b_text":       # a bin of few bytes goes whole to the nearer side
                 whole = {k: BINS if 2 * want[k] >= c[2] else 0 for k, c in got.items() if c[2] <= slack}
             inside = inside.where((F.col(b) == _choose(node, cuts[-1], -1)) & ~is_open(whole))
-        # of the last bin, the rows that start before the quantile's share stay left: it is
-        # a 4096th of a 4096th of a bin at most
         at = [_choose(node, c, -1) for c in cuts]
         left = ((F.col("b_main") < at[0]) | ((F.col("b_main") == at[0]) & (
-            (F.col("b_text") < at[1]) | ((F.col("b_text") == at[1]) & (F.col("b_id") < at[2])))))
+            (F.col("b_text") < at[1]) | ((F.col("b_text") == at[1]) & (
+                (F.col("b_id") < at[2]) | ((F.col("b_id") == at[2]) & (F.col("b_row") < at[3])))))))
         child = F.when(left, 2 * node + 1).otherwise(2 * node + 2)
         new = table.withColumn("b_main", place).withColumn("node", F.when(is_open(box), child).otherwise(node)).drop("b_main")
         table = kept_in_table(new, "tree")
