@@ -4,10 +4,12 @@ A source's documents are each copied target / source size times on average.  The
 whole part is fixed; the fractional parts are rounded together: two documents
 meet, word mass moves at random from one to the other until one of them is
 integral (their expected copies stay), and the one left open meets the next.
-Mass is conserved at every meeting, so a source ends within one document of its
-target.  Meetings happen within blocks of bounded size (hash of the document);
-the one open document of each block goes up a reduction tree of blocks until a
-source has one left, which is rounded by its own probability.
+Mass is conserved at every meeting.  Meetings happen within blocks of bounded size
+(hash of the document); the one open document of each block goes up a reduction tree
+of blocks until a source has one left.  The longer of two documents tends to stay open,
+so each source's shortest documents are held back: the last long one is rounded, the
+short ones take the words it gained or lost, and meet at the end.  A source so ends
+within a short document of its target, where the short ones hold enough words.
 
 All draws are hashes of the documents' ids and the level, so that reruns and
 retried tasks agree.  Sources are ranked by code point with null last; weights
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import kept_in_table, n_words
 
 WEIGHTS = (5, 2, 1)
-OPEN = "source string, doc_id long, size long, source_size long, target double, base long, part double, key long, block long, copies long"
+OPEN = "source string, doc_id long, size long, source_size long, target double, base long, part double, key long, block long, short boolean, copies long"
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
@@ -99,13 +101,40 @@ def pivot(size: np.ndarray, part: np.ndarray, key: np.ndarray, seed: int, level:
     return out
 
 
+def settle(size: np.ndarray, part: np.ndarray, key: np.ndarray, short: np.ndarray, seed: int, level: int) -> np.ndarray:
+    """Rounded parts (0 or 1) of the last level: all but the ``short`` documents meet; the
+    one left open is rounded by its draw, in the direction that the short ones can make
+    good, and the words it gains or loses are taken from or given to them; they meet last."""
+    out = np.zeros(len(part), np.int64)
+    long_, rest = np.flatnonzero(~short), np.flatnonzero(short)
+    p = part[long_].copy()
+    got = pivot(size[long_], p, key[long_], seed, level, not len(rest))
+    out[long_] = np.maximum(got, 0)
+    left = np.flatnonzero(got < 0)
+    q = part[rest].copy()
+    if len(left):
+        i = int(left[0])
+        words = float(size[long_[i]])
+        room = {1: float((q * size[rest]).sum()), 0: float(((1 - q) * size[rest]).sum())}
+        miss = {1: (1 - p[i]) * words, 0: p[i] * words}      # what rounding up or down moves
+        fits = [k for k in (0, 1) if miss[k] <= room[k]] or [min((0, 1), key=lambda k: miss[k] - room[k])]
+        take = int(_draw(seed, level, int(key[long_[i]]), 0) < p[i]) if len(fits) == 2 else fits[0]
+        out[long_[i]] = take
+        share = min(1.0, miss[take] / room[take]) if room[take] > 0 else 0.0
+        q = q * (1 - share) if take else q + (1 - q) * share
+    out[rest] = pivot(size[rest], q, key[rest], seed, level + 1, True)
+    return out
+
+
 def _rounds(seed: int, level: int, last: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        # longest first: the one left open at the end is then a short document;
         # rows that are equal in all of these are interchangeable
         rows = rows.sort_values(["size", "key", "part"], ascending=[False, True, True], kind="stable", ignore_index=True)
         part = rows["part"].to_numpy(float).copy()
-        got = pivot(rows["size"].to_numpy(), part, rows["key"].to_numpy(), seed, level, last)
+        if last:
+            got = settle(rows["size"].to_numpy(), part, rows["key"].to_numpy(), rows["short"].to_numpy(bool), seed, level)
+        else:
+            got = pivot(rows["size"].to_numpy(), part, rows["key"].to_numpy(), seed, level, False)
         rows["part"] = part
         rows["copies"] = np.where(got >= 0, rows["base"].to_numpy() + got, -1)
         return rows
@@ -118,7 +147,7 @@ def row_key(seed: int = 17) -> F.Column:
 
 
 def mix_documents(docs: DataFrame, weights=WEIGHTS, most: float = 3.0, per_block: int = 1000,
-                  seed: int = 17) -> DataFrame:
+                  held_back: int = 300, seed: int = 17) -> DataFrame:
     """documents(doc_id, text, source) ->
     (key, doc_id, source, size, source_size, target, copies, taken), one row per input row.
 
@@ -137,10 +166,23 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, most: float = 3.0, per_block
              .withColumn("part", F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(F.lit(0.0)))
              .withColumn("block", F.pmod(F.col("key"), F.col("blocks")).cast("long"))
              .drop("blocks").withColumn("copies", F.lit(-1).cast("long")))
+    # the shortest documents with an open part wait for the last level: half of a source's, ``held_back`` at most
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("size", "key"))
+    open_ = kept_in_table(open_, "open")
+    halves = open_.where("part > 0").groupBy(F.col("source").alias("s")).agg(F.ceil(F.count("*") / 2).alias("half"))
+    few = open_.where("part > 0").select("source", "size", "key").withColumn("nth", nth).where(F.col("nth") <= held_back)
+    few = few.join(halves, F.col("source").eqNullSafe(F.col("s"))).where("nth <= half")
+    # a key stands for all rows that repeat it wholly
+    few = few.select(F.col("key").alias("held")).distinct()
+    open_ = open_.join(few, F.col("key") == F.col("held"), "left").withColumn("short", F.col("held").isNotNull()).drop("held")
+    open_ = kept_in_table(open_, "open")
+    short, open_ = open_.where("short").withColumn("block", F.lit(0).cast("long")), open_.where("NOT short")
     columns = [x.split()[0] for x in OPEN.split(", ")]
     decided, level = [], 0
     while True:
         last = most_blocks <= 1
+        if last:
+            open_ = open_.select(columns).unionByName(short.select(columns))
         done = kept_in_table(open_.select(columns).groupBy("source", "block").applyInPandas(
             _rounds(seed, level, last), OPEN), "level")
         decided.append(done.where("copies >= 0"))
