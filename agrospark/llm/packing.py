@@ -23,8 +23,11 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +36,92 @@ from pyspark.sql import functions as F
 
 from .common import kept_in_table, slices
 
-CACHE = 300_000           # words whose ids a worker keeps (only saves work)
+CACHE = 700_000           # words, and parts of words, whose ids a worker keeps (only saves work)
+TOGETHER = 1000           # parts of words in one call of the tokenizer
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# what the tokenizer's pattern finds in a word of printable ASCII characters
+ASCII_PART = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+PLAIN = re.compile(rb"[\x21-\x7e]{1,200}")
+STOPS = ".,;:!?"
 
 
 class WordIds(dict):
     """Ids of white-space separated words as little-endian uint32 bytes.  The
     tokenizer's patterns never match across white space, so the ids of a text are
-    those of its words in a row."""
+    those of its words in a row.  New words are cut into the parts that its pattern
+    finds (the letters and the punctuation behind them are never one part); the new
+    parts of many texts go to the tokenizer together, one to a line, and each ends
+    with a token that ends a word.  A word that is cut in no plain way goes whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.parts: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > CACHE:
-            self.clear()
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
-        return out
+    def ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    @staticmethod
+    def cut(word: bytes) -> list[bytes] | None:
+        """Parts of the word, or None where it has to go whole."""
+        if b"<|" in word:                                   # may hold a special token
+            return None
+        if PLAIN.fullmatch(word):
+            return ASCII_PART.findall(word.lower())
+        text = word.decode("utf-8", "replace")
+        head = text.rstrip(STOPS)
+        if len(head) > 200 or not head.isalpha() or not head.lower().isalpha():
+            return None
+        return [head.encode(), text[len(head):].encode()] if len(head) < len(text) else [head.encode()]
+
+    def learn(self, words: set) -> None:
+        if len(self.parts) > CACHE:
+            self.parts.clear()
+        # nearly all words are letters, with or without stops behind them
+        plain = [w for w in words if w.isalpha()]
+        low = [w.lower() for w in plain]
+        stopped, heads, tails, cut = [], [], [], {}
+        for w in words:
+            if not w.isalpha():
+                h = w.rstrip(STOPS.encode())
+                if h.isalpha():
+                    stopped.append(w)
+                    heads.append(h.lower())
+                    tails.append(w[len(h):])
+                else:
+                    cut[w] = self.cut(w)
+        wanted = {*low, *heads, *tails, *chain.from_iterable(filter(None, cut.values()))}
+        new = list(filterfalse(self.parts.__contains__, wanted))
+        lines = ["\n".join(map(bytes.decode, new[i:i + TOGETHER])) for i in range(0, len(new), TOGETHER)]
+        for i, got in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            some, ids = new[i * TOGETHER:(i + 1) * TOGETHER], np.array(got.ids, "<u4")
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            if len(stop) == len(some) and stop[-1] == len(ids):
+                at, blob = (4 * stop).tolist(), ids.tobytes()
+                self.parts.update(zip(some, [blob[lo:hi] for lo, hi in zip([0, *at], at)]))
+            else:                                           # a part without a word end: one by one
+                for p in some:
+                    self.parts[p] = self.ids(p.decode())
+        find = self.parts.__getitem__
+        self.update(zip(plain, map(find, low)))
+        self.update(zip(stopped, map(add, map(find, heads), map(find, tails))))
+        for w, parts in cut.items():
+            self[w] = b"".join(map(find, parts)) if parts else self.ids(w.decode("utf-8", "replace"))
 
-    def text(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8", "replace").split()
-        if len(words) == 1 and len(words[0]) > 1000:      # not worth keeping
-            return np.array(self.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([self[w] for w in words])
+    def texts(self, texts: list) -> Iterator[bytes]:
+        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        missing = set(filterfalse(self.__contains__, set().union(*split)))
+        if len(self) + len(missing) > CACHE and len(self):
+            self.clear()
+            missing = set().union(*split)
+        self.learn(missing)
+        find = self.__getitem__
+        for words in split:
+            yield b"".join(map(find, words))
 
 
 _IDS: dict[str, WordIds] = {}
@@ -73,8 +136,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end: int = 1) -> Dat
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
-                    blob = ids.text(text.as_py()) + tail
+                for doc, blob in zip(part.column("doc_id").to_pylist(), ids.texts(part.column("text").to_pylist())):
+                    blob += tail
                     for k, at in enumerate(range(0, len(blob), 4 * capacity)):
                         piece = blob[at:at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
