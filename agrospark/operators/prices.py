@@ -4,11 +4,15 @@ fallback lookup on a second board (J6), requested list in request order
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import (board_crop_key, crop_alias, first_quoted_price,
                               price_text_to_number)
+from ..session import cut_lineage
+
+MOST_NAMES = 100_000          # names of one automaton
 
 
 def board_a_prices(entries: DataFrame, order: list[str]) -> DataFrame:
@@ -27,26 +31,51 @@ def fallback_prices(quoted: DataFrame, cards: DataFrame, extra_crops: list[str]
     the upper-case crop; its first price text is parsed (P13).  Crops with
     no card keep a NULL price (not the previous crop's price).
 
-    "Contains" is an equi-join of the crops with the substrings of each title
-    (titles are a few words long), so any number of crops is matched without a
-    theta join and nothing goes through the driver.
+    An automaton over all wanted names scans each title once, so the work is the
+    length of the titles, whatever the number of names.  The names travel to the
+    tasks up to ``MOST_NAMES`` of them (checked); more are matched in groups of that
+    size, one scan of the cards a group.
     """
     card_order = card_order or ["card_pos"]
     wanted = quoted.filter(F.col("price") == 0).select("crop_key")
     if extra_crops:
         wanted = wanted.unionByName(quoted.sparkSession.createDataFrame([(c,) for c in extra_crops], "crop_key string"))
-    wanted = wanted.distinct().withColumn("_part", F.upper("crop_key"))
-    title = F.upper("title")
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(title)), lambda i: F.transform(
-        F.sequence(F.lit(0), F.length(title) - i + 1), lambda n: F.substring(title, i, n))))
-    cut = (cards.filter(F.length("title") > 0)
-           .select(*card_order, "price_text", F.explode(F.array_distinct(parts)).alias("_part")))
+    wanted = cut_lineage(wanted.distinct().withColumn("_part", F.upper("crop_key")))
+    groups = max(1, -(-wanted.count() // MOST_NAMES))
+    dealt = wanted.withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups)))
+    cut = None
+    for g in range(groups):
+        names = [r["_part"] for r in dealt.where(F.col("_group") == g).select("_part").distinct().collect() if r["_part"]]
+        hits = names_in_titles(cards.select(*card_order, "price_text", F.upper("title").alias("_title")), "_title", names)
+        cut = hits if cut is None else cut.unionByName(hits)
     fb = (wanted.join(cut, "_part", "left").groupBy("crop_key")
           .agg(F.min(F.when(F.col(card_order[0]).isNotNull(), F.struct(*card_order, "price_text"))).alias("_f")))
     fb = fb.select("crop_key", price_text_to_number(F.col("_f.price_text")).alias("price"))
     return quoted.filter(F.col("price") != 0).unionByName(fb)
 
 
+def names_in_titles(cards: DataFrame, title: str, names: list[str]) -> DataFrame:
+    """``cards`` without the title, one row for each of ``names`` that the title holds (``_part``)."""
+    keep = [c for c in cards.columns if c != title]
+    schema = ", ".join(f"`{c}` {t}" for c, t in cards.dtypes if c != title) + ", _part string"
+    if not names:
+        return cards.select(*keep, F.lit(None).cast("string").alias("_part")).limit(0)
+    held = cards.sparkSession.sparkContext.broadcast(names)
+
+    def scan(batches):
+        import ahocorasick
+        automaton = ahocorasick.Automaton()
+        for name in held.value:
+            automaton.add_word(name, name)
+        automaton.make_automaton()
+        for batch in batches:
+            found = [sorted({name for _, name in automaton.iter(t)}) if t else [] for t in batch.column(title).to_pylist()]
+            row = pa.array([i for i, x in enumerate(found) for _ in x], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(row) for c in keep], pa.array([n for x in found for n in x], pa.string())],
+                                             [*keep, "_part"])
+    return cards.mapInArrow(scan, schema)
+
+
 def store_names(prices: DataFrame, crop: str = "crop_key") -> DataFrame:
     """P15 store side: fixed aliases (``maní runner`` -> ``maní``, ...)."""
     return prices.withColumn(crop, crop_alias(crop))

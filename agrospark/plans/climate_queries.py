@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import climate as C
+from ..session import scratch_path
+from ..sources import sinks as SK
 from . import tables as T
 from .registry import register
 from .tables import R, with_ctes
@@ -160,3 +162,15 @@ def positional_split_counts(spark, d):
     return s.groupBy("departamento_nombre", "is_train").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("fecha").alias("first_month"),
         F.max("fecha").alias("last_month"))
+
+
+@register("monthly_climate_reused", covers=("S13",), sql=with_ctes(
+    T.SQL_CLIMATE_DAILY, T.SQL_CLIMATE_MONTHLY, body="SELECT * FROM climate_monthly"))
+def monthly_climate_reused(spark, d):
+    """The first call builds and publishes the roll-up, the second reads it."""
+    path = scratch_path(spark, "monthly-stage")
+    SK.materialize(spark, path, lambda: T.climate_monthly(spark, d))
+
+    def never():
+        raise RuntimeError("a published stage is not built again")
+    return SK.materialize(spark, path, never)

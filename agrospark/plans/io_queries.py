@@ -29,10 +29,10 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS D
        o_orderpriority FROM orders""")
 def orders_csv_roundtrip(spark, d):
     """Write orders as 10 CSV files (stage output), read every ``*.csv`` back
-    with an explicit schema; the stage is reused when already complete."""
+    with an explicit schema."""
     path = scratch_path(spark, "orders-csv")
     src = read_table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
-    SK.materialize(spark, path, lambda: src.repartition(10), fmt="csv")
+    SK.write_table(src.repartition(10), path, "csv")
     back = RD.read_csv(spark, f"{path}/*.csv", ORDERS_CSV_SCHEMA, with_file_name=True)
     return back.drop("source_file")
 

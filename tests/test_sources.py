@@ -1,7 +1,34 @@
 """Reader edge rows: climate payloads and the ragged semicolon CSV."""
 
+import pytest
+
+from agrospark.operators import prices as PR
 from agrospark.session import scratch_path
 from agrospark.sources import readers as RD
+from agrospark.sources import sinks as SK
+
+
+def test_a_stage_is_published_once(spark):
+    path = scratch_path(spark, "stage")
+    spark.range(3).write.parquet(f"{path}/v-lost")            # left by a job that never published
+    assert SK.published(spark, path) is None
+
+    def slow():
+        # another caller publishes while this one builds
+        assert SK.materialize(spark, path, lambda: spark.range(5)).count() == 5
+        return spark.range(7)
+    assert SK.materialize(spark, path, slow).count() == 5
+    assert SK.materialize(spark, path, lambda: pytest.fail("built again")).count() == 5
+
+
+def test_fallback_prices_scan_titles_once(spark, monkeypatch):
+    quoted = spark.createDataFrame([("soja", 0), ("maní", 0), ("oja", 0), ("trigo", 9), ("x", 0), ("", 0)], "crop_key string, price long")
+    cards = spark.createDataFrame([(2, "SOJA y maní", "$ 5"), (1, "a" * 100_000 + "soja", "$ 1.234,5"), (3, None, "$ 7"), (4, "", "$ 8")],
+                                  "card_pos int, title string, price_text string")
+    for most in (100_000, 2):
+        monkeypatch.setattr(PR, "MOST_NAMES", most)
+        got = {r["crop_key"]: r["price"] for r in PR.fallback_prices(quoted, cards, extra_crops=["NO"]).collect()}
+        assert got == {"soja": 1234, "maní": 5, "oja": 1234, "trigo": 9, "x": None, "": None, "NO": None}
 
 
 def test_payload_edges(spark):
