@@ -6,7 +6,7 @@ All readers take an explicit schema where the reference infers one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -97,14 +97,34 @@ def parse_pairs(df: DataFrame, text: str, out: str = "coords") -> DataFrame:
     return df.withColumn(out, parse_pair_text(text))
 
 
-def polygons_from_geojson(df: DataFrame, geojson: str = "geometry",
-                          props: tuple[str, ...] = ("fna", "nam")) -> DataFrame:
-    """GeoJSON Polygon text (outer ring) -> ``ring ARRAY<STRUCT<lon,lat>>``."""
-    coords = F.from_json(F.col(geojson), "struct<type:string,coordinates:array<array<array<double>>>>")
-    ring = F.transform(F.try_element_at(coords["coordinates"], F.lit(1)),
-                       lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("lon"),
-                                          F.try_element_at(p, F.lit(2)).alias("lat")))
-    return df.select(*props, ring.alias("ring"))
+def geojson_parts(geometry: Column) -> Column:
+    """The parts of a GeoJSON Polygon or MultiPolygon text, each a list of rings (the outer
+    one, then holes) of (lon, lat).  NULL for other geometries and unreadable text; a vertex
+    without two numbers is left out."""
+    kind = F.get_json_object(geometry, "$.type")
+    text = F.get_json_object(geometry, "$.coordinates")
+    nested = F.when(kind == "Polygon", F.concat(F.lit("["), text, F.lit("]"))).when(kind == "MultiPolygon", text)
+    read = F.from_json(nested, "array<array<array<array<double>>>>")
+
+    def vertex(v):
+        return F.struct(F.try_element_at(v, F.lit(1)).alias("lon"), F.try_element_at(v, F.lit(2)).alias("lat"))
+
+    def ring(r):
+        return F.filter(F.transform(r, vertex), lambda v: v.lon.isNotNull() & v.lat.isNotNull())
+    return F.transform(read, lambda part: F.transform(part, ring))
+
+
+def read_polygon_layer(spark: SparkSession, path: str, props: tuple[str, ...] = ("fna", "nam"),
+                       collection: bool = False) -> DataFrame:
+    """A GeoJSON layer: the wanted properties as strings and ``parts`` (see :func:`geojson_parts`).
+
+    One Feature a line, which Spark splits over tasks; ``collection`` reads files that are each
+    one FeatureCollection document (one task a file).  Blank lines are skipped."""
+    text = spark.read.text(path, wholetext=collection).where(F.trim("value") != "")
+    if collection:
+        text = text.select(F.explode(F.from_json("value", "struct<features:array<string>>")["features"]).alias("value"))
+    return text.select(*[F.get_json_object("value", f"$.properties.{p}").alias(p) for p in props],
+                       geojson_parts(F.get_json_object("value", "$.geometry")).alias("parts"))
 
 
 def distance_edges(wide: DataFrame, label: str = "label", instance: str | None = None
