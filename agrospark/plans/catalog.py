@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (climate_queries, evolution_queries, io_queries, layer_queries, search_queries,  # noqa: F401
-               model_queries, planner_queries, soil_geo_queries, stream_queries, text_price_queries)
+               model_queries, planner_queries, population_queries, soil_geo_queries, stream_queries, text_price_queries)
 from .registry import REGISTRY
 
 
