@@ -210,22 +210,23 @@ def event_locations(spark, d):
 
 
 # ---- climate service payloads landed from events (S5) -----------------------
-PAYLOAD_VARS = {"view": "T2M", "click": "RH2M", "purchase": "WS2M", "signup": "PRECTOTCORR"}
+PAYLOAD_VARS = {"view": "T2M", "click": "RH2M", "purchase": "WS2M", "signup": "PRECTOTCORR", "error": "PS"}
 PAYLOAD_COLS = {"T2M": "temperatura_media_C", "RH2M": "humedad_relativa_pct",
-                "WS2M": "velocidad_viento_m_s", "PRECTOTCORR": "precipitacion_mm_dia"}
+                "WS2M": "velocidad_viento_m_s", "PRECTOTCORR": "precipitacion_mm_dia", "PS": "presion_kPa"}
 
 
 @register("climate_payload_rows", covers=("S5", "P10"), sql="""
 WITH daily AS (
   SELECT user_id AS site, CAST(ts AS DATE) AS fecha, event_type,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS v
-  FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup') GROUP BY 1, 2, 3),
+  FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup', 'error') GROUP BY 1, 2, 3),
 sites_with_t2m AS (SELECT DISTINCT site FROM daily WHERE event_type = 'view')
 SELECT d.site, d.fecha,
        max(CASE WHEN event_type = 'view' THEN v END) AS temperatura_media_C,
        max(CASE WHEN event_type = 'click' THEN v END) AS humedad_relativa_pct,
        max(CASE WHEN event_type = 'purchase' THEN v END) AS velocidad_viento_m_s,
-       max(CASE WHEN event_type = 'signup' THEN v END) AS precipitacion_mm_dia
+       max(CASE WHEN event_type = 'signup' THEN v END) AS precipitacion_mm_dia,
+       max(CASE WHEN event_type = 'error' THEN v END) AS presion_kPa
 FROM daily d
 WHERE d.fecha IN (SELECT fecha FROM daily x WHERE x.site = d.site AND x.event_type = 'view')
 GROUP BY 1, 2""")
