@@ -13,7 +13,7 @@ from ..operators import clean as CL
 from ..operators import features as FE
 from ..operators import geo as G
 from ..operators import knapsack as K
-from ..session import read_table, scratch_path
+from ..session import cut_lineage, read_table, scratch_path
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import tables as T
@@ -145,26 +145,26 @@ SELECT CAST(a.k AS INTEGER) AS src, CAST(b.k AS INTEGER) AS dst,
        {R('sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) * 111.32', 4)} AS km
 FROM cen a, cen b"""))
 def nation_distance_edges(spark, d):
-    """Wide distance matrix between nation centroids (one column per
-    destination, as the reference's spreadsheet), turned into edges."""
+    """A distance matrix file between nation centroids (a label, the row's number and a
+    column per destination), written and read back by Spark, turned into edges."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
     pts = T.customer_points(spark, d)
     cen = (c.join(pts, c.c_custkey == pts.point_id).groupBy("c_nationkey")
             .agg(F.avg("lon").alias("x"), F.avg("lat").alias("y")))
-    # one centroid per nation: bounded by the nation table (25 rows), checked
-    rows = sorted(cen.collect(), key=lambda r: r["c_nationkey"])
-    if len(rows) > 1000:
-        raise ValueError("too many sites for a dense distance matrix")
-    keys = [r["c_nationkey"] for r in rows]
-    wide = cen.select(
-        F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")).alias("label"),
-        F.col("c_nationkey").alias("row_idx"),
-        *[(F.sqrt((F.col("x") - F.lit(r["x"])) ** 2 + (F.col("y") - F.lit(r["y"])) ** 2)
-           * 111.32).alias(f"c{r['c_nationkey']}") for r in rows])
-    e = RD.distance_edges(wide.select("label", "row_idx", *[f"c{k}" for k in keys]), "label")
-    m = F.create_map(*[x for i, k in enumerate(keys) for x in (F.lit(i), F.lit(k))])
-    return e.select(F.col("src"), m[F.col("dst")].cast("int").alias("dst"),
-                    F.bround("km", 4).alias("km"))
+    sites = cut_lineage(cen.select(F.col("c_nationkey").alias("k"), "x", "y"), "sites")
+    # the matrix row of a site needs all sites: they travel as one row, as long as a matrix row
+    row = sites.agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("all"))
+    km = F.transform("all", lambda o: (F.sqrt((F.col("x") - o.x) ** 2 + (F.col("y") - o.y) ** 2) * 111.32).cast("string"))
+    path = scratch_path(spark, "matrix")
+    (sites.join(row, F.lit(True)).select(F.concat_ws(";", F.concat(F.lit("nation "), F.col("k")),
+                                                     F.array_position("all", F.struct("k", "x", "y")) - 1, F.array_join(km, ";")))
+          .write.text(path))
+    wide = spark.read.option("sep", ";").csv(path).withColumnsRenamed({"_c0": "label", "_c1": "row_idx"})
+    e = RD.distance_edges(wide, "label")
+    keys = row.select(F.posexplode("all.k").alias("dst", "key"))
+    return (e.join(keys, "dst").select("src", F.col("key").alias("dst"), "km")
+             .join(keys.select(F.col("dst").alias("src"), F.col("key").alias("from")), "src")
+             .select(F.col("from").alias("src"), F.col("dst").cast("int").alias("dst"), F.bround("km", 4).alias("km")))
 
 
 @register("price_snapshot_day", covers=("S12", "F9"), sql=f"""

@@ -59,6 +59,46 @@ def land_as_stream_source(df: DataFrame, name: str, closed_by: str | None = None
     return path
 
 
+def land_arrivals(df: DataFrame, arrival: str, name: str) -> str:
+    """Write a table as one file per value of ``arrival``, in that order: a file
+    stream source that reads one file a trigger sees the rows as they arrived.
+    One job a value, so ``arrival`` is a coarse period (days), not a row's time."""
+    path = scratch_path(df.sparkSession, f"{name}-src")
+    for r in df.select(arrival).distinct().orderBy(arrival).toLocalIterator():
+        df.where(F.col(arrival).eqNullSafe(F.lit(r[0]))).drop(arrival).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def write_log_batch(batch: DataFrame, batch_id: int, path: str, day: str = "day") -> None:
+    """S12 on a stream: what a micro-batch changed, below a folder of its day and batch.
+
+    Only the partitions of this batch are overwritten, so a batch that is run again
+    after a failure replaces its own rows, and rows of other batches are never touched."""
+    (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(day, "batch").parquet(path))
+
+
+def read_log(spark: SparkSession, path: str, schema, key: str, day: str = "day") -> DataFrame:
+    """The log's current row per (day, key): the one of the last batch that changed it."""
+    log = spark.read.schema(schema).parquet(path)
+    rest = [c for c in log.columns if c not in (day, key, "batch")]
+    return log.groupBy(day, key).agg(F.max(F.struct("batch", *rest)).alias("r")).select(day, key, *[f"r.{c}" for c in rest])
+
+
+def price_log(spark: SparkSession, stream: DataFrame, ts: str, key: str, name: str, delay: str = "3 days") -> DataFrame:
+    """X3 + S12: the latest row per (day, key), kept up to date batch by batch.
+
+    The state carries the latest row of every open day between batches; a row whose day
+    ended more than ``delay`` before the newest time seen is too late and changes nothing.
+    The stream runs to the end of what has landed; the log is then read back."""
+    path, ckpt = scratch_path(spark, f"{name}-log"), scratch_path(spark, f"{name}-ckpt")
+    rows = latest_per_day(stream, ts, key, delay)
+    q = (rows.writeStream.outputMode("update").foreachBatch(lambda b, i: write_log_batch(b, i, path))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_log(spark, path, rows.withColumn("batch", F.lit(0).cast("long")).schema, key)
+
+
 def run_append(spark: SparkSession, query: DataFrame, name: str) -> DataFrame:
     """Run to completion (``availableNow``) into a parquet sink, read it back."""
     sink, ckpt = scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
