@@ -53,7 +53,8 @@ class WordIds(dict):
     parts of many texts go to the tokenizer together, one to a line, and each ends
     with a token that ends a word.  A word that is cut in no plain way goes whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = CACHE):
+        self.keep = keep
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,7 +80,7 @@ class WordIds(dict):
         return [head.encode(), text[len(head):].encode()] if len(head) < len(text) else [head.encode()]
 
     def learn(self, words: set) -> None:
-        if len(self.parts) > CACHE:
+        if len(self.parts) > self.keep:
             self.parts.clear()
         # nearly all words are letters, with or without stops behind them
         plain = [w for w in words if w.isalpha()]
@@ -115,7 +116,7 @@ class WordIds(dict):
     def texts(self, texts: list) -> Iterator[bytes]:
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         missing = set(filterfalse(self.__contains__, set().union(*split)))
-        if len(self) + len(missing) > CACHE and len(self):
+        if len(self) + len(missing) > self.keep and len(self):
             self.clear()
             missing = set().union(*split)
         self.learn(missing)
@@ -124,15 +125,17 @@ class WordIds(dict):
             yield b"".join(map(find, words))
 
 
-_IDS: dict[str, WordIds] = {}
+_IDS: dict[tuple[str, int], WordIds] = {}
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int, end: int = 1) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, capacity: int, end: int = 1, keep: int = CACHE) -> DataFrame:
     """One row a piece: (doc_id, piece, start, length, ids_crc32)."""
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]):
-        ids = _IDS.get(path) or _IDS.setdefault(path, WordIds(path))
+        ids = _IDS.get((path, keep))
+        if ids is None:
+            ids = _IDS[path, keep] = WordIds(path, keep)
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
@@ -224,9 +227,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     return out
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 4096, per_bucket: int = 2000) -> DataFrame:
-    """documents(doc_id, text) -> pieces with sequence_id and offset."""
-    pieces = kept_in_table(token_pieces(docs, path, capacity), "pieces")
+def pack(docs: DataFrame, path: str, capacity: int = 4096, per_bucket: int = 2000, keep: int = CACHE) -> DataFrame:
+    """documents(doc_id, text) -> pieces with sequence_id and offset.
+
+    ``keep``: words whose ids a worker remembers; fewer take less memory and more work."""
+    pieces = kept_in_table(token_pieces(docs, path, capacity, keep=keep), "pieces")
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}      # at most ``capacity`` rows
     buckets = max(1, -(-max(counts.values(), default=0) // per_bucket))
     salted = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))

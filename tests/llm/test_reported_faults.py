@@ -120,3 +120,11 @@ def test_different_texts_under_one_id_both_stay(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
     assert got == sorted([(1, text(1)), (1, text(2)), (None, text(3)), (None, text(3)), (None, text(4)), (5, text(3)), (6, None), (7, "")], key=str)
+
+
+def test_packing_does_not_depend_on_the_words_remembered(spark):
+    """A worker that forgets after 50 words gives the ids of one that keeps all."""
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    path = language_id.public_path("word_bpe_49k.json")
+    few, all_ = (packing.token_pieces(docs, path, 4096, keep=k).orderBy("doc_id", "piece").collect() for k in (50, packing.CACHE))
+    assert few == all_ and len(all_) > 0
