@@ -37,6 +37,7 @@ def fallback_prices(quoted: DataFrame, cards: DataFrame, extra_crops: list[str]
     size, one scan of the cards a group.
     """
     card_order = card_order or ["card_pos"]
+    quoted = cut_lineage(quoted, "quoted")           # one row a crop, read three times
     wanted = quoted.filter(F.col("price") == 0).select("crop_key")
     if extra_crops:
         wanted = wanted.unionByName(quoted.sparkSession.createDataFrame([(c,) for c in extra_crops], "crop_key string"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import default_location, repair_mojibake
 from ..operators import clean as CL
 from ..operators import prices as PR
-from ..session import read_table
+from ..session import cut_lineage, read_table, spread
 from ..sources import html as H
 from ..sources import readers as RD
 from . import tables as T
@@ -69,6 +69,7 @@ def _cells_spark():
 def _board_pages(spark, d):
     part = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size",
                                                "p_retailprice")
+    part = spread(part, "p_partkey", "p_name")       # before the pages are rendered, each is parsed by itself
     ars, usd = _cells_spark()
 
     def row(cells):
@@ -113,7 +114,7 @@ board_prices AS (
 
 
 def board_prices(spark, d):
-    entries = H.price_boards(_board_pages(spark, d))
+    entries = cut_lineage(H.price_boards(_board_pages(spark, d)), "boards")      # pages are parsed once
     a = entries.filter(F.col("board") == "A")
     b = entries.filter(F.col("board") == "B").select(
         F.col("page_id").alias("card_page"), F.col("entry_pos").alias("card_pos"),
