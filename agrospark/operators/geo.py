@@ -38,13 +38,15 @@ def locate_points(points: DataFrame, polygons: DataFrame, lon: str = "lon", lat:
                   cell: float = 1.0, order: str = "poly_order",
                   labels: tuple[str, str] = ("nam", "fna"),
                   out: tuple[str, str] = ("departamento_nombre", "provincia_nombre"),
-                  ring: str = "ring") -> DataFrame:
+                  ring: str = "ring", few_polygons: bool = False) -> DataFrame:
     """First polygon (in ``order``) strictly containing each point.
 
     Boundary points are outside; a point in no polygon gets the default
-    labels.  Every input row is kept exactly once.
+    labels.  Every input row is kept exactly once.  ``few_polygons``: the layer is small
+    by its schema, so its cells are broadcast and the points stay in their tasks.
     """
     cells = polygon_cells(polygons, ring, cell, order, labels)
+    cells = F.broadcast(cells) if few_polygons else cells
     p = points.withColumn("_cx", F.floor(F.col(lon) / cell)).withColumn(
         "_cy", F.floor(F.col(lat) / cell))
     j = p.join(cells, ["_cx", "_cy"], "left")
