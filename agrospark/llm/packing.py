@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import kept_in_table, slices
 
+SLICE = 1 << 18           # bytes of text that a worker holds as words at a time (a longer text alone)
 CACHE = 700_000           # words, and parts of words, whose ids a worker keeps (only saves work)
 TOGETHER = 1000           # parts of words in one call of the tokenizer
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -51,7 +52,11 @@ class WordIds(dict):
     those of its words in a row.  New words are cut into the parts that its pattern
     finds (the letters and the punctuation behind them are never one part); the new
     parts of many texts go to the tokenizer together, one to a line, and each ends
-    with a token that ends a word.  A word that is cut in no plain way goes whole."""
+    with a token that ends a word.  A word that is cut in no plain way goes whole.
+
+    Words are remembered in two halves: where the newer half is full, it becomes the
+    older one; what is found in the older half moves to the newer one, so words that
+    come again and again are learnt once."""
 
     def __init__(self, path: str, keep: int = CACHE):
         self.keep = keep
@@ -62,6 +67,8 @@ class WordIds(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.parts: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.older_parts: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -80,8 +87,8 @@ class WordIds(dict):
         return [head.encode(), text[len(head):].encode()] if len(head) < len(text) else [head.encode()]
 
     def learn(self, words: set) -> None:
-        if len(self.parts) > self.keep:
-            self.parts.clear()
+        if len(self.parts) > self.keep // 2:
+            self.older_parts, self.parts = self.parts, {}
         # nearly all words are letters, with or without stops behind them
         plain = [w for w in words if w.isalpha()]
         low = [w.lower() for w in plain]
@@ -97,6 +104,9 @@ class WordIds(dict):
                     cut[w] = self.cut(w)
         wanted = {*low, *heads, *tails, *chain.from_iterable(filter(None, cut.values()))}
         new = list(filterfalse(self.parts.__contains__, wanted))
+        again = list(filter(self.older_parts.__contains__, new))
+        self.parts.update(zip(again, map(self.older_parts.__getitem__, again)))
+        new = list(filterfalse(self.parts.__contains__, new)) if again else new
         lines = ["\n".join(map(bytes.decode, new[i:i + TOGETHER])) for i in range(0, len(new), TOGETHER)]
         for i, got in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
             some, ids = new[i * TOGETHER:(i + 1) * TOGETHER], np.array(got.ids, "<u4")
@@ -116,10 +126,13 @@ class WordIds(dict):
     def texts(self, texts: list) -> Iterator[bytes]:
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         missing = set(filterfalse(self.__contains__, set().union(*split)))
-        if len(self) + len(missing) > self.keep and len(self):
+        if len(self) + len(missing) > self.keep // 2 and len(self):
+            self.older = dict(self)
             self.clear()
             missing = set().union(*split)
-        self.learn(missing)
+        again = missing & self.older.keys()
+        self.update(zip(again, map(self.older.__getitem__, again)))
+        self.learn(missing - again)
         find = self.__getitem__
         for words in split:
             yield b"".join(map(find, words))
@@ -137,7 +150,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end: int = 1, keep:
         if ids is None:
             ids = _IDS[path, keep] = WordIds(path, keep)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 rows = []
                 for doc, blob in zip(part.column("doc_id").to_pylist(), ids.texts(part.column("text").to_pylist())):
                     blob += tail

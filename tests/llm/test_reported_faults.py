@@ -128,3 +128,15 @@ def test_packing_does_not_depend_on_the_words_remembered(spark):
     path = language_id.public_path("word_bpe_49k.json")
     few, all_ = (packing.token_pieces(docs, path, 4096, keep=k).orderBy("doc_id", "piece").collect() for k in (50, packing.CACHE))
     assert few == all_ and len(all_) > 0
+
+
+def test_words_that_come_again_are_learnt_once():
+    """A full memory forgets the words that did not come again, not the others."""
+    from agrospark.llm import language_id, packing
+    ids, learnt = packing.WordIds(language_id.public_path("word_bpe_49k.json"), 40), []
+    learn = ids.learn
+    ids.learn = lambda words: (learnt.extend(words), learn(words))[1]
+    texts = [f"always, again {' '.join('x' * (i % 7 + 1) + str(i) for i in range(k, k + 10))} ALWAYS" for k in range(0, 200, 10)]
+    got = [b for t in texts for b in ids.texts([t])]
+    assert got == [ids.ids(t) for t in texts]
+    assert [learnt.count(w) for w in (b"always,", b"again", b"ALWAYS")] == [1, 1, 1] and len(ids) + len(ids.older) <= 60
