@@ -11,11 +11,12 @@ threshold later.
 A task counts in a HAT-trie: a shallow trie of word ids whose leaves are hash
 containers of the remaining ids.  A container that grows beyond ``burst`` entries
 becomes a node with containers below the next word.  Beyond ``most`` entries the
-trie spills whole subtrees, largest first, each as a run sorted by phrase; the rest
-follows at the end of the task.  Runs are dealt by the hash of a prefix (the word,
+trie spills whole subtrees, largest first, as one run a language sorted by phrase; the
+rest follows at the end of the task.  Runs are dealt by the hash of a prefix (the word,
 the pair, the first three words) and travel compressed; one partition for 8 MB of
 text, so what a merge holds doesn't grow with the input, and a hot word or phrase is
-at most one entry a run.  A partition's runs are merged by a sort that keeps runs.
+at most one entry a run.  A partition's runs are merged in order.  Containers count
+Python keys; what is spilled, dealt and merged is made as arrays, not phrase by phrase.
 
 The score of a cut after k words is floor(1000 * a * n / (l * r)) in decimals of 38
 digits (exact below 10^17 occurrences).  A phrase within a longer one that is as
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,12 +82,19 @@ class Words:
         salt = np.array([seed_of(x) for x in self.langs], np.uint64)
         self.key = mix(self.hash ^ salt[self.lang]) if len(doc) else self.hash
 
-    def text(self, i: int) -> bytes:
-        return self.data[self.starts[i]:self.ends[i]].tobytes()
+    def texts(self, at: np.ndarray) -> list[bytes]:
+        """The words at some places."""
+        bounds = np.column_stack([self.starts, self.ends]).astype(np.int64).ravel()      # word, gap, word and so on
+        words = pa.Array.from_buffers(pa.large_binary(), max(len(bounds) - 1, 0), [None, pa.py_buffer(bounds), pa.py_buffer(self.data)])
+        return listed(words.take(pa.array(2 * at)))
 
-    def pairs(self) -> np.ndarray:
-        """Key of the pair that begins at each word but the last."""
-        return mix(self.key[:-1] * _PAIR + self.key[1:])
+    def pairs(self, at: np.ndarray) -> np.ndarray:
+        """Key of the pair that begins at some words but the last."""
+        return mix(self.key[at] * _PAIR + self.key[at + 1])
+
+
+def listed(found: pa.Array) -> list[bytes]:
+    return found.to_numpy(zero_copy_only=False).tolist()
 
 
 def seed_of(lang: str) -> int:
@@ -129,40 +138,46 @@ class HatTrie:
     def size(node) -> int:
         return sum(map(len, node.values())) if type(node) is dict else len(node)
 
-    def run(self, at) -> tuple[str, list[bytes], list[int]]:
-        """Take a subtree out, as a run sorted by phrase."""
-        node = self.root.pop(at)
-        self.entries -= self.size(node)
-        lang, first = at
-        texts, found = self.texts, []
-        for head, leaf in node.items() if type(node) is dict else [(b"", node)]:
-            by_length: dict = {}
-            for rest, c in leaf.items():
-                by_length.setdefault(len(rest), []).append((rest, c))
-            for some in by_length.values():
-                n = (len(head) + len(some[0][0])) // 4
-                ids = np.frombuffer(b"".join([head + rest for rest, _ in some]), np.uint32).tolist()
-                words = [[texts[i] for i in ids[k::n]] for k in range(n)]
-                found += zip(map(b" ".join, zip([texts[first]] * len(some), *words)), [c for _, c in some])
-        found.sort()
-        return lang, [p for p, _ in found], [c for _, c in found]
+    def run(self, some: list) -> tuple[pa.Array, np.ndarray]:
+        """Take subtrees of one language out, as a run sorted by phrase."""
+        rests, counts, firsts = [], [], []
+        for at in some:
+            node = self.root.pop(at)
+            before = len(rests)
+            if type(node) is dict:
+                for head, leaf in node.items():
+                    rests += [head + rest for rest in leaf]
+                    counts += leaf.values()
+            else:
+                rests += node
+                counts += node.values()
+            firsts.append((at[1], len(rests) - before))
+        self.entries -= len(rests)
+        first = np.repeat(*np.array(firsts, np.int64).T)
+        ids = np.frombuffer(b"".join(rests), np.uint32)
+        long = np.fromiter(map(len, rests), np.int64, len(rests)) // 4
+        start = np.cumsum(long) - long
+        texts, found, order = pa.array(self.texts, pa.large_binary()), [], []
+        for n in np.unique(long).tolist():
+            same = np.flatnonzero(long == n)
+            columns = [first[same], *(ids[start[same] + k] for k in range(n))]
+            found.append(pc.binary_join_element_wise(*(texts.take(pa.array(x)) for x in columns), pa.scalar(b" ", pa.large_binary())))
+            order.append(same)
+        found, count = pa.concat_arrays(found), np.array(counts, np.int64)[np.concatenate(order)]
+        place = pc.array_sort_indices(found)
+        return found.take(place), count[place.to_numpy()]
 
     def spill(self, deal, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
         """Runs of the largest subtrees until half of the room is free; of all at the end, in order."""
-        if all_of_it:
-            order = sorted(self.root, key=lambda at: (at[0], self.texts[at[1]]))
-        else:
-            order = sorted(self.root, key=lambda at: self.size(self.root[at]), reverse=True)
-        runs: dict = {}
-        for at in order:
-            if not all_of_it and self.entries <= self.most // 2:
+        sizes, left, taken = {at: self.size(node) for at, node in self.root.items()}, self.entries, {}
+        for at in sorted(sizes, key=sizes.__getitem__, reverse=True):
+            if not all_of_it and left <= self.most // 2:
                 break
-            lang, p, c = self.run(at)
-            phrases, counts = runs.setdefault(lang, ([], []))
-            phrases += p
-            counts += c
-        for lang, (phrases, counts) in runs.items():
-            yield from deal(lang, phrases, counts)
+            left -= sizes[at]
+            taken.setdefault(at[0], []).append(at)
+        for lang, some in taken.items():
+            phrases, counts = self.run(some)
+            yield from deal(lang, listed(phrases), counts.tolist())
 
 
 def dealer(prefix: int, parts: int):
@@ -200,22 +215,22 @@ def merge_runs(least: int):
         for row in table.select(["lang", "n", "raw", "run"]).to_pylist():
             raw, n = pa.decompress(row["run"], row["raw"], "zstd", asbytes=True), row["n"]
             offs = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)])
-            one = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(raw[12 * n:])])
+            one = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offs), pa.py_buffer(raw[12 * n:])])
             phrases, counts = runs.setdefault(row["lang"], ([], []))
-            phrases += one.to_pylist()
+            phrases.append(one)
             counts.append(np.frombuffer(raw, np.int64, n, 4 * n) if n % 2 == 0 else np.frombuffer(raw[4 * n:12 * n], np.int64))
-        langs, kept, sums = [], [], []
+        out = [counted([], [], [])]
         for lang, (phrases, counts) in runs.items():
-            order = sorted(range(len(phrases)), key=phrases.__getitem__)       # a merge sort that keeps runs
-            merged = [phrases[i] for i in order]
-            first = np.flatnonzero([True, *map(bytes.__ne__, merged[1:], merged)])
-            total = np.add.reduceat(np.concatenate(counts)[order], first)
-            for i in np.flatnonzero((total >= least) | (first == 0)).tolist():
-                if total[i] >= least or not merged[first[i]]:
-                    langs.append(lang)
-                    kept.append(merged[first[i]])
-                    sums.append(int(total[i]))
-        return counted(langs, kept, sums)
+            phrases = pa.chunked_array(phrases)
+            order = pc.sort_indices(phrases)                                   # sorts each run, then merges them
+            merged = pa.concat_arrays(phrases.take(order).chunks)
+            differs = pc.not_equal(merged[1:], merged[:-1]).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.concatenate([[True], differs]))
+            total = np.add.reduceat(np.concatenate(counts)[order.to_numpy()], first)
+            keep = total >= least
+            keep[0] |= merged[0].as_py() == TOTAL.encode()
+            out.append(counted([lang] * int(keep.sum()), listed(merged.take(pa.array(first[keep]))), total[keep]))
+        return pa.concat_tables(out)
     return merge
 
 
@@ -244,8 +259,8 @@ def count_words(docs: DataFrame, parts: int, most: int) -> DataFrame:
                     _, first, n = np.unique(w.hash[where], return_index=True, return_counts=True)
                     own = counts.setdefault(lang, Counter())
                     own[TOTAL.encode()] += len(where)
-                    for i, c in zip(where[first].tolist(), n.tolist()):
-                        own[w.text(i)] += c
+                    for word, c in zip(w.texts(where[first]), n.tolist()):
+                        own[word] += c
                 if sum(map(len, counts.values())) > most:
                     yield from flush(counts)
                     counts = {}
@@ -270,20 +285,19 @@ def count_phrases(docs: DataFrame, lengths: range, word_bits, pair_bits, parts:
                 often = has(words, w.key)
                 link = w.joined & often[:-1] & often[1:]
                 if pairs is not None:
-                    link &= has(pairs, w.pairs())
+                    begin = np.flatnonzero(link)
+                    link[begin] = has(pairs, w.pairs(begin))
                 # ids of the words that take part, new ones with their text
                 used = np.zeros(len(w.hash), bool)
                 used[:-1] |= link
                 used[1:] |= link
                 at = np.flatnonzero(used)
                 uniq, first, inverse = np.unique(w.hash[at], return_index=True, return_inverse=True)
-                ids = np.empty(len(uniq), np.uint32)
-                for j, (h, i) in enumerate(zip(uniq.tolist(), at[first].tolist())):
-                    k = known.get(h)
-                    if k is None:
-                        k = known[h] = len(texts)
-                        texts.append(w.text(i))
-                    ids[j] = k
+                uniq = uniq.tolist()
+                new = [j for j, h in enumerate(uniq) if h not in known]
+                known.update(zip([uniq[j] for j in new], range(len(texts), len(texts) + len(new))))
+                texts += w.texts(at[first[new]])
+                ids = np.fromiter(map(known.__getitem__, uniq), np.uint32, len(uniq))
                 word = np.zeros(len(w.hash), np.uint32)
                 word[at] = ids[inverse]
                 chain = link
@@ -319,7 +333,7 @@ def bit_map(frequent: DataFrame, words: int, widest: int = 28):
     def task(batches):
         for batch in batches:
             w = Words(batch.column("phrase"), batch.column("lang").to_pylist())
-            key = w.key if words == 1 else w.pairs()[::2]
+            key = w.key if words == 1 else w.pairs(np.arange(0, len(w.key), 2))
             i = key & np.uint64(2 ** wide - 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((i >> np.uint64(16)).astype(np.int64)), pa.array((i & np.uint64(65535)).astype(np.int32))], names=["page", "at"])

@@ -95,6 +95,29 @@ def test_trie_bursts_and_spills_sorted_subtrees():
     assert trie.entries == 1 and list(trie.spill(deal, True)) == [[(b"c a", 1)]] and not trie.entries
 
 
+def test_a_spill_is_one_sorted_run_a_language():
+    """op11 over its budget: subtrees were spilled one by one, as many pieces as first words, largest first."""
+    texts = [b"d", b"\x01", b"d-", b"\xc3\xa9", b"a"]
+    trie, want = phrases.HatTrie(texts, burst=2, most=8), Counter()
+    rng = np.random.default_rng(2)
+    for first, n in ((0, 9), (2, 7), (3, 6), (1, 5), (4, 2)):
+        for lang in ("fr", "en"):
+            ids = [rng.integers(0, 5, k).astype(np.uint32) for k in rng.integers(1, 4, n)]
+            trie.add(lang, first, [x.tobytes() for x in sorted(ids, key=len, reverse=True)])
+            want.update((lang, b" ".join([texts[first], *(texts[i] for i in x)])) for x in ids)
+    def deal(lang, found, counts):
+        yield lang, found, counts
+    spilled = list(trie.spill(deal))
+    assert len({p.split(b" ")[0] for _, found, _ in spilled for p in found}) > 1 and trie.entries <= 4
+    rest = list(trie.spill(deal, True))
+    for runs in (spilled, rest):
+        assert len({lang for lang, _, _ in runs}) == len(runs) and all(found == sorted(found) for _, found, _ in runs)
+    got = Counter()
+    for lang, found, counts in spilled + rest:
+        got.update({(lang, p): c for p, c in zip(found, counts)})
+    assert got == want and not trie.entries
+
+
 def test_runs_are_dealt_by_prefix_and_merged():
     import pyarrow as pa
     first = [b"", b"a b c", b"a b c d", b"x", "\u00e9 b c".encode()]
